@@ -18,7 +18,18 @@ T0 = 1704067200  # 2024-01-01 00:00:00 UTC, the first second of the order views
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if not isinstance(sf_dir, Live):
+        return configure(spark).read.parquet(path)
+    # As a pattern the path may be one file or a folder of files.
+    schema = configure(spark).read.parquet(path).schema
+    return spark.readStream.schema(schema).options(**sf_dir.options).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
+class Live(str):
+    """A table folder to be read as streams: every view then becomes one."""
+
+    options: dict[str, str] = {}
 
 
 def text(c: Column | str) -> Column:

@@ -115,7 +115,7 @@ def current_config(
     return newest.filter("_alive = 1").drop("ts_ms", "_alive")
 
 
-def route_dims(changes: DataFrame, config: DataFrame) -> DataFrame:
+def route_dims(changes: DataFrame, config: DataFrame, *keep: str) -> DataFrame:
     """Changes of configured tables, pruned to ``sink_columns``, with their destination.
 
     The routing table has one row per dimension, so Catalyst broadcasts it after checking its size
@@ -128,7 +128,7 @@ def route_dims(changes: DataFrame, config: DataFrame) -> DataFrame:
         "type",
         keep_keys("data", "sink_columns").alias("data"),
         F.col("data")[F.col("sink_row_key")].alias("row_key"),
-        *[c for c in ("ts", "et") if c in changes.columns],
+        *[c for c in ("ts", "et", *keep) if c in changes.columns],
     )
 
 

@@ -57,7 +57,6 @@ def fix_new_flag(
     flag: str = "common.is_new",
     et: str = "et",
     tie: str | None = None,
-    delay: str = "0 seconds",
 ) -> DataFrame:
     """Repair the new-visitor flag: it may be "1" only on a device's first day.
 
@@ -67,7 +66,7 @@ def fix_new_flag(
     if logs.isStreaming:
         from streammart.streaming.keyed import stream_fix_new_flag
 
-        return stream_fix_new_flag(logs, key, flag, et, delay)
+        return stream_fix_new_flag(logs, key, flag, et)
     order = [et] + ([tie] if tie else [])
     rows = logs.withColumns({"_mid": F.col(key), "_flag": F.col(flag)})
     first = rows.groupBy("_mid").agg(
@@ -89,6 +88,14 @@ def fix_new_flag(
     return settled.unionByName(others)
 
 
+def with_fixed_flag(logs: DataFrame, **options) -> DataFrame:
+    """The records with the repaired flag put back into ``common``."""
+    fixed = fix_new_flag(logs, **options)
+    return fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop(
+        "is_new"
+    )
+
+
 def first_of_day(
     df: DataFrame, keys: list[str], et: str = "et", tie: str | None = None, flag: str = "is_first"
 ) -> DataFrame:

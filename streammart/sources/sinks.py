@@ -13,6 +13,7 @@ from streammart.functions import snake_name
 from streammart.operators.state import latest_per_key
 
 Trigger = dict[str, object]
+Finish = Callable[[DataFrame], DataFrame]
 
 
 def to_json_rows(df: DataFrame, *keep: str) -> DataFrame:
@@ -66,6 +67,11 @@ def write_topic(
     return None
 
 
+def write_topic_batch(rows: DataFrame, topic: str, root: str, batch_id: int) -> None:
+    """The ``value`` rows of one micro-batch; a replay replaces what it wrote before."""
+    rows.select("value").write.mode("overwrite").text(f"{root}/{topic}/batch_id={batch_id}")
+
+
 def write_routed(
     rows: DataFrame,
     root: str | None = None,
@@ -232,15 +238,21 @@ def write_upsert(
     buckets: int = 64,
     checkpoint: str | None = None,
     trigger: Trigger | None = None,
+    finish: Finish | None = None,
 ) -> StreamingQuery | None:
-    """Upsert a batch or a stream into an :class:`UpsertTable`."""
+    """Upsert a batch or a stream into an :class:`UpsertTable`.
+
+    ``finish`` turns each micro-batch into the rows to write, e.g. a look-up in dimensions as they
+    are at that moment.
+    """
     table = UpsertTable(changes.sparkSession, root, keys, buckets)
+    finish = finish or (lambda rows: rows)
     if not changes.isStreaming:
-        table.merge(changes, order, deleted)
+        table.merge(finish(changes), order, deleted)
         return None
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch, order, deleted, source=checkpoint, batch_id=batch_id)
+        table.merge(finish(batch), order, deleted, source=checkpoint, batch_id=batch_id)
 
     return start_stream(changes, checkpoint, each, trigger).start()
 
@@ -250,6 +262,7 @@ def write_summary(
     root: str,
     checkpoint: str | None = None,
     trigger: Trigger | None = None,
+    finish: Finish | None = None,
 ) -> StreamingQuery | None:
     """Summary rows as Parquet below ``cur_date=``, so that a day's query opens one folder.
 
@@ -258,7 +271,8 @@ def write_summary(
 
     def save(rows: DataFrame, batch_id: int) -> None:
         (
-            rows.withColumn("batch_id", F.lit(batch_id))
+            (finish(rows) if finish else rows)
+            .withColumn("batch_id", F.lit(batch_id))
             .hint("rebalance", "cur_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

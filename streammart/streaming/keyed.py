@@ -94,17 +94,17 @@ def stream_first_seen(
     return out.select("et", *payload)
 
 
-def stream_fix_new_flag(logs: DataFrame, key: str, flag: str, et: str, delay: str) -> DataFrame:
+def stream_fix_new_flag(logs: DataFrame, key: str, flag: str, et: str) -> DataFrame:
+    """No watermark is involved: a record that comes late is judged like any other."""
     claims = F.coalesce(F.col(flag) == "1", F.lit(False))
-    base = ensure_watermark(logs, et, delay)
-    others = base.filter(~claims).select(*base.columns, F.col(flag).alias("is_new"))
+    others = logs.filter(~claims).select(*logs.columns, F.col(flag).alias("is_new"))
     # Whole records travel as JSON text: nested columns do not survive a trip through pandas.
-    claiming = base.filter(claims).select(
+    claiming = logs.filter(claims).select(
         F.col(key).alias("_mid"),
         F.col(et).alias("et"),
         day_of(et).alias("day"),
         F.lit("1").alias("flag"),
-        F.to_json(F.struct(*base.columns)).alias("row"),
+        F.to_json(F.struct(*logs.columns)).alias("row"),
     )
     hints = logs.filter(~claims).select(
         F.col(key).alias("_mid"),
@@ -113,22 +113,19 @@ def stream_fix_new_flag(logs: DataFrame, key: str, flag: str, et: str, delay: st
         F.lit("0").alias("flag"),
         F.lit(None).cast("string").alias("row"),
     )
-    if not has_watermark(logs, et):
-        hints = keep_first_rows(hints, ["_mid"], ["et"]).withWatermark("et", delay)
     judged = (
-        claiming.unionByName(hints)
+        claiming.unionByName(keep_first_rows(hints, ["_mid"], ["et"]))
         .groupBy("_mid")
         .transformWithStateInPandas(
             statefulProcessor=FixNewFlag(),
             outputStructType="et timestamp, row string, is_new string",
             outputMode="append",
-            timeMode="EventTime",
-            eventTimeColumnName="et",
+            timeMode="None",
         )
     )
-    record = F.from_json("row", base.drop(et).schema).alias("r")
+    record = F.from_json("row", logs.drop(et).schema).alias("r")
     settled = judged.select("et", "is_new", record).select(
-        *[F.col("et").alias(et) if c == et else F.col(f"r.{c}").alias(c) for c in base.columns],
+        *[F.col("et").alias(et) if c == et else F.col(f"r.{c}").alias(c) for c in logs.columns],
         "is_new",
     )
     return settled.unionByName(others)
