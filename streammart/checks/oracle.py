@@ -454,3 +454,22 @@ add(
     from ev""",
     "ev",
 )
+
+
+def closed(name: str, source: str, where: str, batch: str) -> None:
+    """A streamed summary: the batch answer without windows that end after the newest row."""
+    ORACLE[name] = f"""
+    select * from ({ORACLE[batch]}) as all_windows
+    where edt <= (with {SQL[source]} select {stamp('max(et)')} from {'ov' if source == 'versions' else source} where {where})"""
+
+
+closed("stream_traffic_by_dims", "pages", "true", "win_traffic_by_dims")
+closed("stream_home_detail_uv", "pages", "page_id in ('home', 'good_detail')", "win_home_detail_uv")
+closed("stream_login_back", "pages", "uid <> '' and coalesce(last_page_id, 'login') = 'login'", "win_login_back")
+closed("stream_payment_users", "ev", "event_type = 'purchase'", "win_payment_users")
+closed("stream_province_orders", "versions", "true", "win_province_orders")
+ORACLE["stream_keyword_count"] = f"""select * from ({ORACLE['win_keyword_count']}) as all_windows
+    where edt <= (select {stamp(f'epoch_ms(({T0} + max(doc_id)) * 1000)')} from documents)"""
+ORACLE["stream_fix_new_flag"] = ORACLE["state_fix_new_flag"]
+ORACLE["stream_retract_offsets"] = ORACLE["state_retract_offsets"]
+ORACLE["stream_refund"] = ORACLE["fact_refund"]

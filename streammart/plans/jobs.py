@@ -21,7 +21,7 @@ from streammart.operators.changelog import (
     route_dims,
     route_facts,
 )
-from streammart.operators.logs import split_bad_records, split_log
+from streammart.operators.logs import split_log, tag_bad_records
 from streammart.operators.state import with_fixed_flag
 from streammart.operators.windows import with_event_time
 from streammart.sources.sinks import (
@@ -30,7 +30,6 @@ from streammart.sources.sinks import (
     start_stream,
     to_json_rows,
     write_summary,
-    write_topic,
     write_topic_batch,
     write_upsert,
 )
@@ -40,28 +39,29 @@ ReadConfig = Callable[[], DataFrame]
 
 def start_log_job(
     raw: DataFrame, root: str, checkpoint: str, trigger: Trigger | None = None
-) -> list[StreamingQuery]:
-    """Application log -> err, start, display, action and page topics, plus unreadable records.
+) -> StreamingQuery:
+    """Application log -> err, start, display, action, page and exception topics.
 
-    One query parses and judges each record once and writes all five outputs from the same cached
-    micro-batch.
+    Unreadable messages travel beside the records, and each micro-batch is cached, so that all six
+    topics are written from one parse.
     """
-    good, bad = split_bad_records(raw)
-    fixed = with_fixed_flag(with_event_time(good, "ts", "ms")).drop("et")
+    tagged = tag_bad_records(raw.filter(F.col("value").isNotNull()))
+    bad = F.when(F.col("record").isNull(), F.col("value")).alias("bad")
+    records = with_event_time(tagged.select("record.*", bad), "ts", "ms")
+    fixed = with_fixed_flag(records).drop("et")
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            for name, rows in split_log(batch).items():
-                write_topic_batch(to_json_rows(rows), schemas.LOG_OUTPUTS[name], root, batch_id)
+            outputs = split_log(batch.filter("bad is null").drop("bad"))
+            outputs = {name: to_json_rows(rows) for name, rows in outputs.items()}
+            outputs["bad"] = batch.filter("bad is not null").select(F.col("bad").alias("value"))
+            for name, rows in outputs.items():
+                write_topic_batch(rows, schemas.LOG_OUTPUTS[name], root, batch_id)
         finally:
             batch.unpersist()
 
-    records = start_stream(fixed, f"{checkpoint}/records", save, trigger).start()
-    rejects = write_topic(
-        bad, schemas.LOG_OUTPUTS["bad"], root, checkpoint=f"{checkpoint}/bad", trigger=trigger
-    )
-    return [records, rejects]
+    return start_stream(fixed, checkpoint, save, trigger).start()
 
 
 def start_dim_job(

@@ -20,7 +20,13 @@ from streammart.operators.state import (
     login_flags,
     offset_versions,
 )
-from streammart.operators.windows import DEFAULT_WIDTH, ensure_watermark, tumble_agg
+from streammart.operators.windows import (
+    DEFAULT_WIDTH,
+    ensure_watermark,
+    stamp_window,
+    tumble,
+    tumble_agg,
+)
 
 
 def _sums(*names: str) -> list[Column]:
@@ -192,9 +198,9 @@ def sku_amounts(
     if net.isStreaming:
         return tumble_agg(net, ["sku_id"], [name, *sums], width=width, delay=delay)
     # Text cannot sit in a hash aggregate's buffer. As a key it can, so order lines are summed by
-    # hashing, and only the few summed rows are sorted to settle a product that changed its name.
-    named = tumble_agg(net, ["sku_id", "sku_name"], sums, width=width)
-    return named.groupBy("stt", "edt", "cur_date", "sku_id").agg(name, *sums)
+    # hashing, and only the summed rows are sorted to settle a product that changed its name.
+    named = net.groupBy(tumble("et", width).alias("window"), "sku_id", "sku_name").agg(*sums)
+    return stamp_window(named.groupBy("window", "sku_id").agg(name, *sums))
 
 
 def sku_attributes(

@@ -95,26 +95,30 @@ def stream_first_seen(
 
 
 def stream_fix_new_flag(logs: DataFrame, key: str, flag: str, et: str) -> DataFrame:
-    """No watermark is involved: a record that comes late is judged like any other."""
+    """No watermark is involved: a record that comes late is judged like any other.
+
+    Records that do not claim to be new pass by the state; only the first of each device in each
+    Arrow batch is shown to it.
+    """
     claims = F.coalesce(F.col(flag) == "1", F.lit(False))
     others = logs.filter(~claims).select(*logs.columns, F.col(flag).alias("is_new"))
-    # Whole records travel as JSON text: nested columns do not survive a trip through pandas.
-    claiming = logs.filter(claims).select(
-        F.col(key).alias("_mid"),
-        F.col(et).alias("et"),
-        day_of(et).alias("day"),
-        F.lit("1").alias("flag"),
-        F.to_json(F.struct(*logs.columns)).alias("row"),
-    )
-    hints = logs.filter(~claims).select(
+    seen = logs.filter(F.col(et).isNotNull()).select(
         F.col(key).alias("_mid"),
         F.col(et).alias("et"),
         day_of(et).alias("day"),
-        F.lit("0").alias("flag"),
-        F.lit(None).cast("string").alias("row"),
+        F.when(claims, "1").otherwise("0").alias("flag"),
+        # Whole records travel as JSON text: nested columns do not survive a trip through pandas.
+        F.when(claims, F.to_json(F.struct(*logs.columns))).alias("row"),
     )
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            claiming = pdf["row"].notna()
+            first = pdf[~claiming].sort_values("et").drop_duplicates("_mid")
+            yield pd.concat([pdf[claiming], first])
+
     judged = (
-        claiming.unionByName(keep_first_rows(hints, ["_mid"], ["et"]))
+        seen.mapInPandas(reduce, seen.schema)
         .groupBy("_mid")
         .transformWithStateInPandas(
             statefulProcessor=FixNewFlag(),
