@@ -80,6 +80,7 @@ add(
       case when op <> 'd' then here end as after_table,
       case when op <> 'd' then sink_columns end as sink_columns from ({ROUTES})""",
 )
+add("src_config_snapshot", f"select here as source_table, sink_table, sink_columns from ({ROUTES}) where op <> 'd'")
 add("src_dim", "select cast(c_custkey as varchar) as id, c_name, c_nationkey as n from customer")
 
 add(
@@ -192,6 +193,16 @@ add(
     "ev",
 )
 
+add(
+    "dim_build",
+    f"""select 'dim_cart' as dim, id as row_key, sku_num as cell from ch where {CLEAN} and tab = 'cart_info' and type <> 'delete'
+    union all
+    select 'dim_user', user_id, id from (
+      select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+      from ch where {CLEAN} and tab = 'user_info') where rn = 1 and type <> 'delete'""",
+    "changes",
+)
+
 add("flt_logins", "select event_id, uid, last_page_id from pages where uid <> '' and coalesce(last_page_id, 'login') = 'login'", "pages")
 add("flt_tombstones", RAW + " select value from raw where value <> ''", "ev")
 add(
@@ -470,6 +481,9 @@ closed("stream_payment_users", "ev", "event_type = 'purchase'", "win_payment_use
 closed("stream_province_orders", "versions", "true", "win_province_orders")
 ORACLE["stream_keyword_count"] = f"""select * from ({ORACLE['win_keyword_count']}) as all_windows
     where edt <= (select {stamp(f'epoch_ms(({T0} + max(doc_id)) * 1000)')} from documents)"""
+ORACLE["stream_late_drop"] = f"""with {SQL['ev']}
+    select * from ({windowed("(select et from ev where not (event_type = 'error' and day(et) <= 10))", HOUR, "", "count(*) as n")}) as all_windows
+    where edt <= (select {stamp('max(et)')} from ev)"""
 ORACLE["stream_fix_new_flag"] = ORACLE["state_fix_new_flag"]
 ORACLE["stream_retract_offsets"] = ORACLE["state_retract_offsets"]
 ORACLE["stream_refund"] = ORACLE["fact_refund"]

@@ -122,6 +122,15 @@ def src_config_changes(spark, sf_dir):
     return back.select("op", "ts_ms", F.col("before.source_table").alias("before_table"), F.col("after.source_table").alias("after_table"), F.col("after.sink_columns").alias("sink_columns"))
 
 
+@query
+def src_config_snapshot(spark, sf_dir):
+    from streammart.sources.tables import read_config_snapshot
+
+    path = scratch_path(spark, "routes")
+    v.config_changes(spark, sf_dir).filter("op <> 'd'").select("after.*").write.parquet(path)
+    return read_config_snapshot(spark, path).select("source_table", "sink_table", "sink_columns")
+
+
 @query
 def src_dim(spark, sf_dir):
     from streammart.sources.tables import read_dim
@@ -272,6 +281,23 @@ def dim_apply_changes(spark, sf_dir):
     return cl.apply_dim_changes(dim, changes, ["name", "segment"], ["ts", "event_id"])
 
 
+@query
+def dim_build(spark, sf_dir):
+    """Change log and routes to dimensions, in one go."""
+    built = facts.build_dims(
+        v.changelog(spark, sf_dir),
+        v.dim_routes(spark),
+        None,
+        {},
+        {"dim_cart": ["id", "sku_num"], "dim_user": ["id", "user_id"]},
+        v.DATABASE,
+        ["ts", "event_id"],
+    )
+    cart = built["dim_cart"].select(F.lit("dim_cart").alias("dim"), "row_key", F.col("sku_num").alias("cell"))
+    user = built["dim_user"].select(F.lit("dim_user").alias("dim"), "row_key", F.col("id").alias("cell"))
+    return cart.unionByName(user)
+
+
 # --- logs ----------------------------------------------------------------------------------------
 
 
@@ -659,6 +685,24 @@ def stream_province_orders(spark, sf_dir):
     return plain(summaries.province_names(drained(spark, "stream-province", totals), names))
 
 
+@query
+def stream_late_drop(spark, sf_dir):
+    """Errors of the first ten days arrive after day twenty: too late to be counted."""
+    from streammart.operators.windows import tumble_agg
+
+    e = v.events(spark, sf_dir).select("event_id", "event_type", "et")
+    day = F.dayofmonth("et")
+    late = (F.col("event_type") == "error") & (day <= 10)
+    root = scratch_path(spark, "late")
+    out = scratch_path(spark, "late-out")
+    for part in (e.filter(~late & (day <= 20)), e.filter(late | (day > 20))):
+        part.write.mode("append").parquet(root)
+        arrivals = spark.readStream.schema(e.schema).parquet(root)
+        counted = tumble_agg(arrivals, [], [F.count(F.lit(1)).alias("n")], width="1 hour")
+        sinks.write_summary(counted, out, f"{out}-checkpoint", {"availableNow": True}).awaitTermination()
+    return sinks.read_summary(spark, out)
+
+
 @query
 def stream_fix_new_flag(spark, sf_dir):
     fixed = state.fix_new_flag(v.pages(spark, v.Live(sf_dir)))

@@ -128,7 +128,7 @@ def route_dims(changes: DataFrame, config: DataFrame, *keep: str) -> DataFrame:
         "type",
         keep_keys("data", "sink_columns").alias("data"),
         F.col("data")[F.col("sink_row_key")].alias("row_key"),
-        *[c for c in ("ts", "et", *keep) if c in changes.columns],
+        *[c for c in dict.fromkeys(("ts", "et", *keep)) if c in changes.columns],
     )
 
 

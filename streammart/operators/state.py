@@ -186,7 +186,7 @@ def first_seen(
 ) -> DataFrame:
     """The first row of each key: its ``et`` and payload.
 
-    A stream forgets a key ``ttl`` after it was first seen; a batch remembers every key.
+    A stream forgets a key when the watermark is ``ttl`` past it; a batch remembers every key.
     """
     if df.isStreaming:
         from streammart.streaming.keyed import stream_first_seen

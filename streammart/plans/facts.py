@@ -365,7 +365,7 @@ def build_dims(
     ``columns`` names the cells of each dimension; ``current`` holds the stored ones.
     """
     config = current_config(snapshot, config_changes, ["source_table"])
-    routed = route_dims(clean_changelog(changes, database), config)
+    routed = route_dims(clean_changelog(changes, database), config, *order)
     return {
         name: apply_dim_changes(
             current.get(name), routed.filter(F.col("sink_table") == name), cols, order

@@ -143,9 +143,13 @@ def start_fact_job(
     finish: Callable[[DataFrame], DataFrame] | None = None,
     trigger: Trigger | None = None,
     buckets: int = 64,
+    part: str | None = None,
 ) -> StreamingQuery:
     """A fact stream -> its table, one row per ``key``.
 
+    ``part`` names a column that is fixed for a key, usually ``date_id``: a micro-batch then rewrites
+    buckets of the days it touches, not of the whole history.
+
     ``finish`` adds dictionary names to each micro-batch, reading the dictionary as it is then, e.g.
     ``lambda rows: name_payments(rows, read_dim(spark, dims, "dim_base_dic"))``.
     """
@@ -155,6 +159,7 @@ def start_fact_job(
         [key],
         ["ts"],
         buckets=buckets,
+        part=part,
         checkpoint=checkpoint,
         trigger=trigger,
         finish=finish,

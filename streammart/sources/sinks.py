@@ -104,13 +104,21 @@ class UpsertTable:
     Every merge writes its buckets to a new folder and then one line naming, for each bucket, the
     folder that holds it. Readers follow the newest line, so they see a whole merge or none of it,
     and a merge that died half-way leaves only unreferenced files. One writer per table.
+
+    A table that grows with time should name a column a key never changes, such as the day of an
+    order line, as ``part``: the buckets are then kept per part, and a merge leaves other days alone.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, keys: list[str] | None = None, buckets: int = 64
+        self,
+        spark: SparkSession,
+        root: str,
+        keys: list[str] | None = None,
+        buckets: int = 64,
+        part: str | None = None,
     ):
         self.spark, self.root = spark, root.rstrip("/")
-        self.keys, self.buckets = keys, buckets
+        self.keys, self.buckets, self.part = keys, buckets, part
 
     def _fs(self):
         jvm = self.spark._jvm
@@ -136,14 +144,21 @@ class UpsertTable:
     def exists(self) -> bool:
         return bool(self._versions())
 
-    def read(self) -> DataFrame:
-        rows = self._load(self._state()[1]["buckets"])
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        """The current rows; of the given parts only, if the table has parts."""
+        folders = self._state()[1]["buckets"]
+        if parts is not None:
+            folders = {b: at for b, at in folders.items() if b.rpartition(".")[0] in parts}
+        rows = self._load(folders)
         if rows is None:
             raise FileNotFoundError(f"no rows have been merged into {self.root}")
         return rows
 
     def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        number = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string")
+        if self.part is None:
+            return number
+        return F.concat_ws(".", F.coalesce(F.col(self.part).cast("string"), F.lit("none")), number)
 
     def rewrite(
         self,
@@ -162,10 +177,8 @@ class UpsertTable:
             return False
         changes = changes.persist()
         try:
-            # At most `buckets` rows come back, however large the change set is.
-            touched = [
-                str(r[0]) for r in changes.select(self.bucket_of()).distinct().collect()
-            ]
+            # At most `buckets` rows per part come back, however large the change set is.
+            touched = [r[0] for r in changes.select(self.bucket_of()).distinct().collect()]
             if not touched:
                 return False
             current = self._load({b: state["buckets"][b] for b in touched if b in state["buckets"]})
@@ -236,6 +249,7 @@ def write_upsert(
     order: list[str],
     deleted: str | None = None,
     buckets: int = 64,
+    part: str | None = None,
     checkpoint: str | None = None,
     trigger: Trigger | None = None,
     finish: Finish | None = None,
@@ -245,7 +259,7 @@ def write_upsert(
     ``finish`` turns each micro-batch into the rows to write, e.g. a look-up in dimensions as they
     are at that moment.
     """
-    table = UpsertTable(changes.sparkSession, root, keys, buckets)
+    table = UpsertTable(changes.sparkSession, root, keys, buckets, part)
     finish = finish or (lambda rows: rows)
     if not changes.isStreaming:
         table.merge(finish(changes), order, deleted)

@@ -25,6 +25,19 @@ def read_table_jdbc(
     return df.toDF(*[camel_name(c) for c in df.columns]) if camel else df
 
 
+def read_config_snapshot(
+    spark: SparkSession,
+    path: str | None = None,
+    url: str | None = None,
+    table: str | None = None,
+    **options: str,
+) -> DataFrame:
+    """A whole routing table, from Parquet (``path``) or a database (``url`` and ``table``)."""
+    if path:
+        return spark.read.parquet(path)
+    return read_table_jdbc(spark, url, table, **options)
+
+
 def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The current rows of a dimension table; call it again to see newer ones."""
     return UpsertTable(spark, f"{root}/{name}").read()

@@ -5,19 +5,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streammart.functions import day_of
 from streammart.operators.windows import ensure_watermark, has_watermark
+from streammart.streaming import processors
 from streammart.streaming.processors import (
-    FirstPerSlot,
+    FirstOfDay,
+    FirstSeen,
     FixNewFlag,
     LatestAfterDelay,
     OffsetVersions,
 )
 
+# Send the processors to the executors by value: the package need not be installed there.
+cloudpickle.register_pickle_by_value(processors)
+
 
 def millis(text: str) -> int:
     """``"5 seconds"`` as milliseconds."""
@@ -42,56 +48,58 @@ def keep_first_rows(df: DataFrame, groups: list[str], order: list[str]) -> DataF
     return df.mapInPandas(reduce, df.schema)
 
 
-def _first_per_slot(
-    df: DataFrame,
-    keys: dict[str, str],
-    payload: dict[str, str],
-    et: str,
-    slot: Column,
-    slot_end: Column,
-    history: bool,
-    delay: str,
+def _candidates(
+    df: DataFrame, keys: dict, payload: dict, et: str, groups: list[str], delay: str
 ) -> DataFrame:
+    """Watermarked rows that may be the first of their key, reduced where that is possible."""
     rows = df.select(
         *[F.col(c).alias(name) for name, c in keys.items()],
         *[F.col(c).alias(name) for name, c in payload.items()],
         F.col(et).alias("et"),
-        slot.alias("slot"),
-        F.unix_millis(slot_end).alias("slot_end"),
-    )
-    if not has_watermark(df, et):
-        rows = keep_first_rows(rows, [*keys, "slot"], ["et", *payload])
-        rows = rows.withWatermark("et", delay)
-    types = dict(rows.dtypes)
-    output = ", ".join(
-        [f"{k} {types[k]}" for k in keys]
-        + ["day string", "et timestamp"]
-        + [f"{p} {types[p]}" for p in payload]
-        + ["prev_day string"]
+        day_of(et).alias("day"),
     )
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=FirstPerSlot(list(keys), list(payload), history),
-        outputStructType=output,
+    if has_watermark(df, et):
+        return rows
+    rows = keep_first_rows(rows, [*keys, *groups], ["et", *payload])
+    return rows.withWatermark("et", delay)
+
+
+def stream_first_rows_of_day(
+    df: DataFrame, keys: dict, payload: dict, et: str, history: bool, delay: str
+) -> DataFrame:
+    midnight = F.date_trunc("day", "et") + F.expr("interval 1 day")
+    rows = _candidates(df, keys, payload, et, ["day"], delay)
+    rows = rows.withColumn("day_end", F.unix_millis(midnight))
+    names = [*keys, "day", "et", *payload]
+    fields = [T.StructField(c, rows.schema[c].dataType) for c in names]
+    first = rows.groupBy(*keys).transformWithState(
+        statefulProcessor=FirstOfDay(list(keys), list(payload)),
+        outputStructType=T.StructType([*fields, T.StructField("prev_day", T.StringType())]),
         outputMode="append",
         timeMode="EventTime",
         eventTimeColumnName="et",
     )
+    return first if history else first.drop("prev_day")
 
 
-def stream_first_rows_of_day(
-    df: DataFrame, keys: dict, payload: dict, et: str, history: bool, delay: str
-) -> DataFrame:
-    day_end = F.date_trunc("day", F.col(et)) + F.expr("interval 1 day")
-    out = _first_per_slot(df, keys, payload, et, day_of(et), day_end, history, delay)
-    return out if history else out.drop("prev_day")
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """Buckets must stay the same between restarts; choose more for more live keys."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
 def stream_first_seen(
-    df: DataFrame, key: str, payload: dict, et: str, ttl: str, delay: str
+    df: DataFrame, key: str, payload: dict, et: str, ttl: str, delay: str, buckets: int = 256
 ) -> DataFrame:
-    end = F.col(et) + F.expr(f"interval {ttl}")
-    out = _first_per_slot(df, {"_key": key}, payload, et, F.lit("seen"), end, False, delay)
-    return out.select("et", *payload)
+    rows = _candidates(df, {"seen_key": key}, payload, et, [], delay).drop("day")
+    rows = rows.withColumns({"et_ms": F.unix_millis("et"), "_bucket": bucket_of(["seen_key"], buckets)})
+    fields = [T.StructField(c, rows.schema[c].dataType) for c in ["et", *payload]]
+    return rows.groupBy("_bucket").transformWithStateInPandas(
+        statefulProcessor=FirstSeen(list(payload), millis(ttl)),
+        outputStructType=T.StructType(fields),
+        outputMode="append",
+        timeMode="EventTime",
+        eventTimeColumnName="et",
+    )
 
 
 def stream_fix_new_flag(logs: DataFrame, key: str, flag: str, et: str) -> DataFrame:
@@ -120,7 +128,7 @@ def stream_fix_new_flag(logs: DataFrame, key: str, flag: str, et: str) -> DataFr
     judged = (
         seen.mapInPandas(reduce, seen.schema)
         .groupBy("_mid")
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=FixNewFlag(),
             outputStructType="et timestamp, row string, is_new string",
             outputMode="append",
@@ -143,12 +151,14 @@ def stream_offset_versions(
     et: str,
     ttl: str,
     delay: str,
+    buckets: int = 256,
 ) -> DataFrame:
-    base = ensure_watermark(df, et, delay)
-    rows = base.withColumn("et_ms", F.unix_millis(F.col(et)))
-    out = rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=OffsetVersions(order, measures, millis(ttl)),
-        outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema]),
+    rows = ensure_watermark(df, et, delay).withColumn("et_ms", F.unix_millis(F.col(et)))
+    fields = [T.StructField(f.name, f.dataType) for f in rows.schema]
+    rows = rows.withColumn("_bucket", bucket_of(keys, buckets))
+    out = rows.groupBy("_bucket").transformWithStateInPandas(
+        statefulProcessor=OffsetVersions(keys, order, measures, millis(ttl)),
+        outputStructType=T.StructType(fields),
         outputMode="append",
         timeMode="EventTime",
         eventTimeColumnName=et,
@@ -160,8 +170,8 @@ def stream_latest_per_key(
     df: DataFrame, keys: list[str], order: list[str], delay: str = "5 seconds"
 ) -> DataFrame:
     """One row per burst of versions: the latest, ``delay`` after the first of them arrived."""
-    return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=LatestAfterDelay(order, millis(delay)),
+    return df.groupBy(*keys).transformWithState(
+        statefulProcessor=LatestAfterDelay(df.columns, order, millis(delay)),
         outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]),
         outputMode="append",
         timeMode="ProcessingTime",

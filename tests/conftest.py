@@ -18,7 +18,7 @@ FAR = pd.Timestamp("2040-01-01")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4)
+    session = local_session(4, shuffle_partitions=2)
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="streammart-"))
     yield session

@@ -215,3 +215,13 @@ def test_several_topics_are_read_together(spark, tmp_path, topic):
     topic("b").put("2", "3")
     topic("c").put("4")
     assert topics.read_topic(spark, ["a", "b"], root=str(tmp_path)).count() == 3
+
+
+def test_upsert_table_with_parts(spark, tmp_path):
+    table = sinks.UpsertTable(spark, str(tmp_path / "t"), ["id"], buckets=2, part="day")
+    rows = spark.range(40).select("id", F.concat(F.lit("d"), F.col("id") % 4).alias("day"), F.lit(0).alias("v"))
+    table.merge(rows, ["v"])
+    table.merge(rows.filter("day = 'd1'").withColumn("v", F.lit(1)), ["v"])
+    assert {d.split("=")[1].split(".")[0] for d in os.listdir(tmp_path / "t" / "data" / "1") if "=" in d} == {"d1"}
+    assert table.read().count() == 40 and table.read(["d1"]).count() == 10
+    assert table.read().agg(F.sum("v")).first()[0] == 10
