@@ -18,4 +18,4 @@ from streammart.functions.scalars import (  # noqa: F401
     stamp_of,
     today_partition,
 )
-from streammart.functions.text import explode_words, words_of  # noqa: F401
+from streammart.functions.text import explode_words, register_functions, words_of  # noqa: F401

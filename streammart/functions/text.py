@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: what separates words.
+BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
+
+
 def words_of(phrase: Column | str) -> Column:
     """The distinct words of a phrase: runs of letters and digits, lower-cased."""
     phrase = F.col(phrase) if isinstance(phrase, str) else phrase
-    parts = F.split(F.lower(phrase), r"[^\p{L}\p{N}]+")
+    parts = F.split(F.lower(phrase), BETWEEN_WORDS)
     return F.array_distinct(F.filter(parts, lambda w: w != ""))
 
 
@@ -38,3 +42,12 @@ def explode_words(
 
         words = segmented(F.col(phrase))
     return df.withColumn(word, F.explode(words))
+
+
+def register_functions(spark: SparkSession, name: str = "split_words") -> None:
+    """Make the word split available to SQL: ``FROM t, LATERAL split_words(t.keyword)``."""
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(phrase STRING) RETURNS TABLE (word STRING)
+        RETURN SELECT explode(array_distinct(filter(
+          split(lower(phrase), r'{BETWEEN_WORDS}'), w -> w <> ''))) AS word"""
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,10 +46,17 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | str | None = No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+
+    Where it is not set, the context's checkpoint folder; a local session without one gets one.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        folder = tempfile.mkdtemp(prefix="streammart-")
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pandas as pd
 import pytest
@@ -19,8 +18,6 @@ FAR = pd.Timestamp("2040-01-01")
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, shuffle_partitions=2)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="streammart-"))
     yield session
     session.stop()
 

@@ -137,8 +137,16 @@ def test_current_config(spark):
     got = {r["source_table"]: r["sink_columns"] for r in cl.current_config(snapshot, log, ["source_table"]).collect()}
     assert got == {"a2": "id", "c": "id,x"}
     assert cl.current_config(snapshot, None, ["source_table"]).count() == 2
-    both = topics.read_config_changes  # the snapshot comes first, as r rows
-    assert both is not None
+
+
+def test_config_snapshot_comes_first(spark, tmp_path):
+    snapshot = spark.createDataFrame([tuple(route("a", "dim_a").values())], schemas.DIM_ROUTE)
+    (tmp_path / "routes").mkdir()
+    later = {"op": "u", "ts_ms": 5, "before": route("a", "dim_a"), "after": route("a", "dim_z")}
+    (tmp_path / "routes" / "0.txt").write_text(json.dumps(later) + "\n")
+    both = topics.read_config_changes(spark, snapshot, topics="routes", root=str(tmp_path))
+    assert [r["op"] for r in both.orderBy("ts_ms").collect()] == ["r", "u"]
+    assert cl.current_config(None, both, ["source_table"]).first()["sink_table"] == "dim_z"
 
 
 def test_dim_changes_patch_cell_by_cell(spark):
@@ -263,6 +271,15 @@ def test_words(spark):
     assert sorted(r["word"] for r in got.collect()) == ["小米", "手机"]
 
 
+def test_words_in_sql(spark):
+    from streammart.functions import register_functions
+
+    register_functions(spark)
+    spark.createDataFrame([(1, "Red red BLUE"), (2, "...")], "n int, keyword string").createOrReplaceTempView("phrases")
+    got = spark.sql("SELECT n, word FROM phrases, LATERAL split_words(phrases.keyword)").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "blue"), (1, "red")]
+
+
 def test_custom_accumulator(spark):
     df = at(spark, [(2.0, "2024-01-01 00:00:01"), (4.0, "2024-01-01 00:00:02")], "x double, et string")
     out = tumble_agg(df, [], [F.sum("x").alias("s"), F.count("x").alias("n")], result=[(F.col("s") / F.col("n")).alias("mean")])
