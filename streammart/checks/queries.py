@@ -636,10 +636,23 @@ def serve_channel_series(spark, sf_dir):
 # the input ends is still open, so it is in neither the result nor its SQL.
 
 
+def drain(spark: SparkSession, stream: DataFrame, out: str) -> None:
+    """Run a stream over everything there is. One machine gets one state partition per core."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        query = sinks.write_summary(stream, out, f"{out}-checkpoint", {"availableNow": True})
+        query.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+
+
 def drained(spark: SparkSession, label: str, stream: DataFrame) -> DataFrame:
-    """Run a stream over everything there is; the rows it wrote."""
+    """The rows a stream writes."""
     root = scratch_path(spark, label)
-    sinks.write_summary(stream, root, f"{root}-checkpoint", {"availableNow": True}).awaitTermination()
+    drain(spark, stream, root)
     return sinks.read_summary(spark, root)
 
 
@@ -699,7 +712,7 @@ def stream_late_drop(spark, sf_dir):
         part.write.mode("append").parquet(root)
         arrivals = spark.readStream.schema(e.schema).parquet(root)
         counted = tumble_agg(arrivals, [], [F.count(F.lit(1)).alias("n")], width="1 hour")
-        sinks.write_summary(counted, out, f"{out}-checkpoint", {"availableNow": True}).awaitTermination()
+        drain(spark, counted, out)
     return sinks.read_summary(spark, out)
 
 
