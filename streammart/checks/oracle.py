@@ -41,8 +41,8 @@ def first_days(source: str, keys: str, where: str = "true") -> str:
 
 
 def add(name: str, sql: str, view: str | None = None) -> None:
-    ORACLE[name] = (f"with {SQL[view]}\n{sql}" if view and not sql.lstrip().startswith(",") else
-                    f"with {SQL[view]}{sql}" if view else sql)
+    """Register SQL; ``view`` puts the named tables of ``views.SQL`` in front of it."""
+    ORACLE[name] = f"with {SQL[view]}\n{sql}" if view else sql
 
 
 RAW = """, raw as (
@@ -467,18 +467,18 @@ add(
 )
 
 
-def closed(name: str, source: str, where: str, batch: str) -> None:
-    """A streamed summary: the batch answer without windows that end after the newest row."""
+def closed(name: str, view: str, rows: str, batch: str) -> None:
+    """A streamed summary: the batch answer without windows that end after the newest of ``rows``."""
     ORACLE[name] = f"""
     select * from ({ORACLE[batch]}) as all_windows
-    where edt <= (with {SQL[source]} select {stamp('max(et)')} from {'ov' if source == 'versions' else source} where {where})"""
+    where edt <= (with {SQL[view]} select {stamp('max(et)')} from {rows})"""
 
 
-closed("stream_traffic_by_dims", "pages", "true", "win_traffic_by_dims")
-closed("stream_home_detail_uv", "pages", "page_id in ('home', 'good_detail')", "win_home_detail_uv")
-closed("stream_login_back", "pages", "uid <> '' and coalesce(last_page_id, 'login') = 'login'", "win_login_back")
-closed("stream_payment_users", "ev", "event_type = 'purchase'", "win_payment_users")
-closed("stream_province_orders", "versions", "true", "win_province_orders")
+closed("stream_traffic_by_dims", "pages", "pages", "win_traffic_by_dims")
+closed("stream_home_detail_uv", "pages", "pages where page_id in ('home', 'good_detail')", "win_home_detail_uv")
+closed("stream_login_back", "pages", "pages where uid <> '' and coalesce(last_page_id, 'login') = 'login'", "win_login_back")
+closed("stream_payment_users", "ev", "ev where event_type = 'purchase'", "win_payment_users")
+closed("stream_province_orders", "versions", "ov", "win_province_orders")
 ORACLE["stream_keyword_count"] = f"""select * from ({ORACLE['win_keyword_count']}) as all_windows
     where edt <= (select {stamp(f'epoch_ms(({T0} + max(doc_id)) * 1000)')} from documents)"""
 ORACLE["stream_late_drop"] = f"""with {SQL['ev']}
