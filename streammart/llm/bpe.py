@@ -106,12 +106,17 @@ def _rows(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -
 
 
 def encode(
-    df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", offsets: bool = False
+    df: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text_col: str = "text",
+    offsets: bool = False,
+    keep_text: bool = True,
 ) -> DataFrame:
     """Add ``ids`` array<int>, and with ``offsets`` also ``starts`` and ``ends`` array<int>."""
     new = ["ids", "starts", "ends"] if offsets else ["ids"]
     keep = df.drop(*new).withColumn("_bpe_text", F.coalesce(F.col(text_col), F.lit("")))
-    names = [c for c in keep.columns if c != "_bpe_text"]
+    names = [c for c in keep.columns if c != "_bpe_text" and (keep_text or c != text_col)]
     schema = StructType([*keep.select(names).schema, *(StructField(n, ArrayType(IntegerType())) for n in new)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,19 +133,22 @@ def encode(
     return keep.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """Add ``decoded_bytes``, and ``decoded`` text in which bytes of cut characters become U+FFFD."""
-    keep = df.drop("decoded_bytes", "decoded")
+def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", as_text: bool = True) -> DataFrame:
+    """Add ``decoded_bytes``, and with ``as_text`` the ``decoded`` text, in which cut characters become U+FFFD."""
+    new = ["decoded_bytes", "decoded"] if as_text else ["decoded_bytes"]
+    keep = df.drop(*new)
     names = keep.columns
-    schema = StructType([*keep.schema, StructField("decoded_bytes", BinaryType()), StructField("decoded", StringType())])
+    kinds = [BinaryType(), StringType()]
+    schema = StructType([*keep.schema, *(StructField(n, k) for n, k in zip(new, kinds))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks_path, pattern)
         for batch in _rows(batches, ids_col):
             data = [coder.decode(ids or []) for ids in batch.column(ids_col).to_pylist()]
-            text = [d.decode("utf-8", "replace") for d in data]
-            out = [*(batch.column(n) for n in names), pa.array(data, pa.binary()), pa.array(text, pa.string())]
-            yield pa.RecordBatch.from_arrays(out, [*names, "decoded_bytes", "decoded"])
+            out = [*(batch.column(n) for n in names), pa.array(data, pa.binary())]
+            if as_text:
+                out.append(pa.array([d.decode("utf-8", "replace") for d in data], pa.string()))
+            yield pa.RecordBatch.from_arrays(out, [*names, *new])
 
     return keep.mapInArrow(run, schema)
 
@@ -153,9 +161,9 @@ def multi_50k() -> tuple[str, str]:
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
-    """Encode and decode; ``docs`` has doc_id and text."""
+    """``ids`` and ``decoded_bytes`` in place of the text of ``docs``."""
     ranks, pattern = multi_50k()
-    return decode(encode(docs, ranks, pattern), ranks, pattern)
+    return decode(encode(docs, ranks, pattern, keep_text=False), ranks, pattern, as_text=False)
 
 
 def digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
