@@ -3,15 +3,17 @@
 Documents with the same word sequence form one class. A class has its set of shingle hashes, 128 minwise tokens
 of that set, and a 128-bit sketch with one bit of each token. In each of ``TREES`` independent trees a class
 walks down: the hash of the path so far chooses one of the minwise tokens, and its value names the child node.
-A node of at most ``LEAF`` classes is compared exhaustively and not branched further. In a larger node all
-classes are compared with one pivot, which joins the large groups, and the node branches; afterwards all classes
-of the node outside its largest component are compared with the whole node if they are at most ``LEAF``, or if
-the node is as deep as trees go. A link at the threshold is missed by one tree of depth d with chance
+A node of at most ``LEAF`` classes is compared exhaustively and not branched further. In a larger node of the
+first ``STARS`` levels all classes are compared with one pivot, which joins the large groups, and the node
+branches. Then the classes
+outside a large node's largest component are compared with ``PIVOTS`` more members of that component, and what is
+still outside is compared with the whole node, if it is at most ``LEAF`` classes or the node is as deep as trees
+go; else the node's children do it. Pairs that are already connected are not compared again. A link at the threshold is missed by one tree of depth d with chance
 1 - 0.85^d: 12 trees miss it with 2e-10 at depth 1, 2e-5 at depth 3 and 4e-3 at depth 6, and for links of
 one large group only if no other path joins its members.
 
-Candidates pass a size bound that loses nothing and a sketch bound five standard deviations below the threshold;
-links are confirmed on the full sets. Shingles are compared by 64-bit hashes of their words.
+Candidates pass a size bound that loses nothing and a sketch bound five standard deviations below the threshold,
+in large nodes also one of four deviations on a sketch of 512 bits; links are confirmed on the full sets. Shingles are compared by 64-bit hashes of their words.
 
 Cases: documents without words, or with null text, have an empty set and link with nothing; texts shorter than a
 shingle are one shingle; repeated rows each get their row, of the same class; a null doc_id never becomes a
@@ -22,26 +24,30 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streammart.llm.common import slices, stored
+from streammart.llm.common import slices, stored, unit_hash
 from streammart.llm.components import components
 
 WORDS = 5
 PERCENT = 85
 TOKENS = 128
+FINE = 512
 TREES = 12
 DEPTH = 6
 LEAF = 64
+STARS = 3
+PIVOTS = 16
 WORD_CACHE = 500_000
 
 _RANDOM = np.random.default_rng(20240517)
-_MULTIPLY = _RANDOM.integers(0, 1 << 64, TOKENS, dtype=np.uint64) | np.uint64(1)
-_ADD = _RANDOM.integers(0, 1 << 64, TOKENS, dtype=np.uint64)
+_MULTIPLY = _RANDOM.integers(0, 1 << 64, FINE, dtype=np.uint64) | np.uint64(1)
+_ADD = _RANDOM.integers(0, 1 << 64, FINE, dtype=np.uint64)
 _ROOTS = _RANDOM.integers(0, 1 << 64, TREES, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD1342543DE82EF95)
@@ -81,15 +87,22 @@ def shingles(tokens: list[bytes], hashes: WordHashes) -> np.ndarray:
     return np.unique(mixed(state))
 
 
-def minwise(found: np.ndarray) -> np.ndarray:
-    """For each of the hash functions the smallest value over the set."""
-    least = np.full(TOKENS, np.iinfo(np.uint64).max, np.uint64)
+def minwise(found: np.ndarray, size: int = TOKENS) -> np.ndarray:
+    """For each of the first ``size`` hash functions the smallest value over the set."""
+    least = np.full(size, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(found), 1024):
         part = found[start : start + 1024]
-        np.minimum(least, (part[None, :] * _MULTIPLY[:, None] + _ADD[:, None]).min(1), out=least)
+        for k in range(0, size, TOKENS):
+            hashed = part[None, :] * _MULTIPLY[k : k + TOKENS, None] + _ADD[k : k + TOKENS, None]
+            np.minimum(least[k : k + TOKENS], hashed.min(1), out=least[k : k + TOKENS])
     return least
 
 
+def sketched(least: np.ndarray) -> np.ndarray:
+    """One bit of each minwise value, packed into 64-bit numbers; a row for each row."""
+    return np.packbits((mixed(least) >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
+
+
 def paths(tokens: np.ndarray) -> np.ndarray:
     """Node ids [document, tree, level]; the path so far chooses which token branches."""
     rows = np.arange(len(tokens))[:, None]
@@ -118,8 +131,7 @@ def described(docs: DataFrame) -> DataFrame:
                 tids.append(hashlib.md5(text.encode()).digest() if tokens else None)
                 least.append(minwise(found))
             least = np.array(least)
-            bits = (mixed(least) >> np.uint64(63)).astype(np.uint8)
-            sketch = np.packbits(bits, axis=1).view(np.int64)
+            sketch = sketched(least)
             nodes = paths(least).view(np.int64)
             inner = pa.ListArray.from_arrays(np.arange(0, nodes.size + 1, DEPTH, dtype=np.int32), pa.array(nodes.ravel()))
             trees = pa.ListArray.from_arrays(np.arange(0, len(inner) + 1, TREES, dtype=np.int32), inner)
@@ -143,21 +155,27 @@ def described(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def sketch_floor(percent: int) -> int:
-    """Equal sketch bits that a pair at the threshold falls below with a chance under 1e-6."""
+def most_unequal(percent: int, size: int, deviations: float) -> int:
+    """Unequal bits that a pair at the threshold exceeds only beyond so many standard deviations."""
     match = 0.5 + percent / 200
-    return int(TOKENS * match - 5 * (TOKENS * match * (1 - match)) ** 0.5)
+    return size - int(size * match - deviations * (size * match * (1 - match)) ** 0.5)
 
 
 def likely(percent: int) -> Column:
-    """Whether a pair of descriptions, prefixed a_ and b_, can reach the threshold."""
+    """Whether a pair of descriptions, prefixed a_ and b_, can reach the threshold (missed: under 1e-6)."""
     differ = F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))) + F.bit_count(F.col("a_s1").bitwiseXOR(F.col("b_s1")))
     small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    return (differ <= TOKENS - sketch_floor(percent)) & (100 * small >= percent * large)
+    return (differ <= most_unequal(percent, TOKENS, 5)) & (100 * small >= percent * large)
+
+
+def likelier(percent: int) -> Column:
+    """The same by the finer sketch (missed: under 1e-4 at the threshold itself)."""
+    unequal = [F.bit_count(F.col("a_bits")[i].bitwiseXOR(F.col("b_bits")[i])) for i in range(FINE // 64)]
+    return reduce(Column.__add__, unequal) <= most_unequal(percent, FINE, 4)
 
 
 def _side(rows: DataFrame, prefix: str) -> DataFrame:
-    names = [c for c in ("key", "n", "s0", "s1", "part") if c in rows.columns]
+    names = [c for c in ("key", "n", "s0", "s1", "bits", "part", "top") if c in rows.columns]
     return rows.select("node", *(F.col(c).alias(f"{prefix}_{c}") for c in names))
 
 
@@ -166,61 +184,83 @@ def _pairs(joined: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
 
 
-def branch(classes: DataFrame, percent: int) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Candidate pairs of small nodes and of pivots, and the rows of the large nodes of each level."""
-    pairs, large = [], []
+def branch(classes: DataFrame, percent: int) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
+    """Candidate pairs of small nodes by level, of pivots by level, and the rows of the large nodes by level."""
+    leaves, stars, large = [], [], []
     rows = classes.select("key", "n", "s0", "s1", F.explode("trees").alias("path"))
     for level in range(DEPTH):
         here = rows.withColumn("node", F.col("path")[level])
         sizes = here.groupBy("node").agg(F.count("*").alias("rows")).filter("rows > 1")
         here = here.join(sizes, "node")
-        leaves = here.filter(F.col("rows") <= LEAF)
-        both = _side(leaves, "a").join(_side(leaves, "b"), "node").filter("a_key < b_key")
-        pairs.append(stored(_pairs(both, percent).distinct(), "pairs"))
+        small = here.filter(F.col("rows") <= LEAF)
+        both = _side(small, "a").join(_side(small, "b"), "node").filter("a_key < b_key")
+        leaves.append(stored(_pairs(both, percent).distinct(), "pairs"))
         rows = stored(here.filter(F.col("rows") > LEAF).select("node", "key", "n", "s0", "s1", "path"), "nodes")
         if rows.isEmpty():
             break
         large.append(rows)
-        order = F.struct(F.xxhash64("node", "key").alias("h"), "key", "n", "s0", "s1")
-        pivots = rows.groupBy("node").agg(F.min(order).alias("p")).select("node", "p.*").drop("h")
-        pairs.append(_pairs(_side(pivots, "a").join(_side(rows, "b"), "node"), percent))
+        if level < STARS:
+            order = F.struct(F.xxhash64("node", "key").alias("h"), "key", "n", "s0", "s1")
+            pivots = rows.groupBy("node").agg(F.min(order).alias("p")).select("node", "p.*").drop("h")
+            stars.append(_pairs(_side(pivots, "a").join(_side(rows, "b"), "node"), percent))
         rows = rows.drop("node")
-    return pairs, large
+    return leaves, stars, large
 
 
-def across(rows: DataFrame, parts: DataFrame, percent: int, last: bool) -> DataFrame:
-    """Pairs of different components in large nodes: the classes outside a node's largest component, with all.
+def across(
+    rows: DataFrame, fine: DataFrame, parts: DataFrame, percent: int, pivots: int | None, last: bool = False
+) -> DataFrame:
+    """Pairs of different components in large nodes: the classes outside a node's largest component, with others.
 
-    Nodes with more such classes than a leaf holds are left to their children, unless there are none (``last``).
+    With ``pivots``, the others are about that many members of the largest component, picked by a hash of their
+    own, so that nodes of other trees and levels mostly pick the same ones. Without,
+    they are the whole node; nodes with more such classes than a leaf holds are then left to their children,
+    unless there are none (``last``).
     """
     parts = parts.withColumnRenamed("node", "key")
-    rows = rows.drop("path").join(parts, "key", "left").withColumn("part", F.coalesce("label", "key")).drop("label")
+    rows = rows.drop("path").join(fine, "key").join(parts, "key", "left").withColumn("part", F.coalesce("label", "key")).drop("label")
     shares = rows.groupBy("node", "part").agg(F.count("*").alias("rows"))
     most = shares.groupBy("node").agg(F.sum("rows").alias("all"), F.max(F.struct("rows", "part")).alias("top"))
-    outside = F.col("all") - F.col("top.rows")
-    most = most.filter((outside > 0) if last else (outside > 0) & (outside <= LEAF)).select("node", F.col("top.part").alias("top"))
-    rows = rows.join(most, "node")
-    rest = _side(rows.filter("part != top"), "a")
-    joined = rest.join(_side(rows, "b"), "node").filter("a_part != b_part")
-    return _pairs(joined, percent)
-
-
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of class keys whose full shingle sets reach the threshold."""
+    most = most.select("node", F.col("top.part").alias("top"), F.col("top.rows").alias("inside"), (F.col("all") - F.col("top.rows")).alias("outside"))
+    few = (F.col("inside") > 1) if pivots else F.lit(last) | (F.col("outside") <= LEAF)
+    rows = rows.join(most.filter((F.col("outside") > 0) & few), "node")
+    rest = rows.filter("part != top")
+    if pivots:
+        share = unit_hash(F.col("key"), F.lit("pivot"))
+        others = rows.filter((F.col("part") == F.col("top")) & (share * F.col("inside") < pivots))
+    else:
+        others = rows
+    joined = _side(others, "a").join(_side(rest.drop("top"), "b"), "node")
+    joined = joined.filter("a_part != b_part and (a_part = a_top or a_key < b_key)")
+    return _pairs(joined.filter(likelier(percent)), percent)
+
+
+def apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one component yet."""
+    for end in ("a", "b"):
+        pairs = pairs.join(parts.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end, "left")
+    differ = F.coalesce("a_label", "a") != F.coalesce("b_label", "b")
+    return pairs.filter(differ).select("a", "b")
+
+
+def item_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, items, bits: the full shingle sets of the ``wanted`` classes (key, tid), and their finer sketches."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches):
-            found = [shingles(words(t), hashes).view(np.int64) for t in batch.column("text").to_pylist()]
-            arrays = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), arrays], ["key", "items"])
+            found = [shingles(words(t), hashes) for t in batch.column("text").to_pylist()]
+            bits = list(sketched(np.array([minwise(f, FINE) for f in found])))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in ([f.view(np.int64) for f in found], bits)]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *lists], ["key", "items", "bits"])
 
-    pairs = stored(pairs.distinct(), "candidates")
-    ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = classes.select("key", "tid").join(ends, "key")
     texts = docs.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("tid"), "text").join(wanted, "tid")
-    items = texts.select("key", "text").dropDuplicates(["key"]).mapInArrow(sets, "key binary, items array<long>")
-    items = stored(items, "sets")
+    items = texts.select("key", "text").dropDuplicates(["key"]).mapInArrow(sets, "key binary, items array<long>, bits array<long>")
+    return stored(items, "sets")
+
+
+def confirmed(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of class keys whose full shingle sets reach the threshold."""
     left = items.select(F.col("key").alias("a"), F.col("items").alias("a_items"))
     right = items.select(F.col("key").alias("b"), F.col("items").alias("b_items"))
     joined = pairs.join(left, "a").join(right, "b")
@@ -229,6 +269,32 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     return stored(joined.filter(F.col("i") * 100 >= percent * (F.col("s") - F.col("i"))).select("a", "b"), "links")
 
 
+def connected(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, label) of all classes that have a link."""
+    leaves, stars, large = branch(classes, percent)
+    pairs = stored(union_of([leaves[0], *stars]).distinct(), "candidates")
+    ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))
+    # Nodes of deeper levels hold no other classes than the large nodes of the first.
+    ends = union_of([ends, *(rows.select("key") for rows in large[:1])]).distinct()
+    items = item_sets(docs, classes.select("key", "tid").join(ends, "key"))
+    links = confirmed(pairs, items, percent)
+    parts = components(links)
+    if not large:
+        return parts
+    fine, tried = items.select("key", "bits"), None
+    for pivots in (PIVOTS, None):
+        frames = [across(rows, fine, parts, percent, pivots, i == DEPTH - 1) for i, rows in enumerate(large)]
+        if pivots:
+            frames += [apart(deeper, parts) for deeper in leaves[1:]]
+        pairs = union_of(frames).distinct()
+        tried = stored(pairs.join(tried, ["a", "b"], "left_anti") if tried else pairs, "candidates")
+        more = confirmed(tried, items, percent)
+        if not more.isEmpty():
+            links = links.union(more)
+            parts = components(links)
+    return parts
+
+
 def union_of(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:
@@ -245,14 +311,7 @@ def near_duplicate_rows(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     filled = rows.filter("key is not null")
     # Rows of one class agree on everything but their ids and tid, and any tid of the class will do.
     classes = stored(filled.drop("doc_id", "row_id").dropDuplicates(["key"]), "classes")
-    pairs, large = branch(classes, percent)
-    links = confirmed(docs, classes, union_of(pairs), percent)
-    parts = components(links)
-    if large:
-        frames = [across(r, parts, percent, i == DEPTH - 1) for i, r in enumerate(large)]
-        more = confirmed(docs, classes, union_of(frames), percent)
-        if not more.isEmpty():
-            parts = components(links.union(more))
+    parts = connected(docs, classes, percent)
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id")
     members = filled.groupBy("key").agg(F.min(first).alias("first"))
     members = members.join(parts.withColumnRenamed("node", "key"), "key", "left")
