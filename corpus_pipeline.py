@@ -13,9 +13,12 @@ from streammart.llm import bpe, exactdup, mixing, neardup, toxicity
 from streammart.llm.common import stored, table
 
 
+ROW = "_row_number"
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """Rows with a number that the same files give again each time they are read."""
-    return docs.withColumn("row_id", F.monotonically_increasing_id())
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,23 +29,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of texts that are equal up to white space."""
     rows = numbered(docs)
-    kept = exactdup.exact_groups(rows.select("doc_id", "text", "row_id")).filter("kept").select("row_id")
-    return rows.join(kept, "row_id", "left_semi").select(docs.columns)
+    kept = exactdup.exact_groups(rows.select("doc_id", "text", F.col(ROW).alias("row_id"))).filter("kept").select(F.col("row_id").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each component of near-duplicates: its smallest id, and of rows that repeat it one."""
     rows = numbered(docs)
-    found = neardup.near_duplicate_rows(rows.select("doc_id", "text", "row_id"))
-    kept = found.filter("kept").select("row_id")
-    return rows.join(kept, "row_id", "left_semi").select(docs.columns)
+    found = neardup.near_duplicate_rows(rows.select("doc_id", "text", F.col(ROW).alias("row_id")))
+    kept = found.filter("kept").select(F.col("row_id").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat, keep or cut documents so that each source gives the words of its target."""
     rows = numbered(docs)
-    taken = mixing.mixed(rows, carry=["row_id"])
-    return mixing.repeated(rows, taken).select(docs.columns)
+    taken = mixing.mixed(rows, carry=[ROW])
+    return mixing.repeated(rows, taken, ROW).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,14 +96,14 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCH
     return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *carry)
 
 
-def repeated(docs: DataFrame, taken: DataFrame) -> DataFrame:
-    """The mixed rows of ``docs`` (with row_id): each as often as taken, the last one perhaps cut to its first words.
+def repeated(docs: DataFrame, taken: DataFrame, row: str = "row_id") -> DataFrame:
+    """The mixed rows of ``docs``, known by the column ``row``: each as often as taken, the last one perhaps cut to its first words.
 
-    ``taken`` has row_id, size and taken. Documents without words are not part of a mix of words.
+    ``taken`` has that column, size and taken. Documents without words are not part of a mix of words.
     """
-    names = [c for c in docs.columns if c != "row_id"]
-    chosen = taken.filter("taken > 0").select("row_id", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    rows = docs.join(chosen, "row_id")
+    names = [c for c in docs.columns if c != row]
+    chosen = taken.filter("taken > 0").select(row, F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    rows = docs.join(chosen, row)
     copies = F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))
     rows = rows.withColumn("_copy", F.explode(copies))
     words = F.least("_size", F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
