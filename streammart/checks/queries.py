@@ -179,8 +179,18 @@ def sink_upsert(spark, sf_dir):
 def sink_summary(spark, sf_dir):
     root = scratch_path(spark, "summary")
     rows = summaries.traffic_by_dims(v.pages(spark, sf_dir), width="1 day", tie="event_id")
-    sinks.write_summary(rows, root)
-    sinks.write_summary(rows, root)  # a replay: must change nothing
+    sinks.write_summary(rows, root, batch="first")
+    sinks.write_summary(rows, root, batch="first")  # a replay: must change nothing
+    return sinks.read_summary(spark, root)
+
+
+@query
+def sink_summary_two_batches(spark, sf_dir):
+    """Two batches with rows of the same days: both stay."""
+    root = scratch_path(spark, "summary")
+    rows = summaries.traffic_by_dims(v.pages(spark, sf_dir), width="1 day", tie="event_id")
+    sinks.write_summary(rows.filter("ch <= 'ch1'"), root)
+    sinks.write_summary(rows.filter("ch > 'ch1'"), root)
     return sinks.read_summary(spark, root)
 
 
@@ -502,6 +512,15 @@ def state_retract_offsets(spark, sf_dir):
     return plain(out.select("id", "sku_id", "v2", "v3", "split_total_amount", "split_coupon_amount"))
 
 
+@query
+def state_retract_duplicates(spark, sf_dir):
+    """Every version delivered twice, and once more without a time."""
+    rows = v.order_versions(spark, sf_dir)
+    rows = rows.union(rows).union(rows.withColumn("et", F.lit(None).cast("timestamp")))
+    out = state.offset_versions(rows, ["id"], list(v.VERSION_ORDER), ["split_total_amount", "split_coupon_amount"])
+    return plain(out.select("id", "sku_id", "v2", "v3", "split_total_amount", "split_coupon_amount"))
+
+
 @query
 def state_latest_per_key(spark, sf_dir):
     rows = v.order_versions(spark, sf_dir).select("id", "sku_id", "split_total_amount", *v.VERSION_ORDER)
@@ -735,7 +754,7 @@ def stream_retract_offsets(spark, sf_dir):
 @query
 def stream_refund(spark, sf_dir):
     changes = v.trade_changes(spark, v.Live(sf_dir)).withWatermark("et", "3 seconds")
-    rows = facts.fact_refund(changes, v.nation_dic(spark, sf_dir), database=v.DATABASE)
+    rows = facts.fact_refund(changes, v.nation_dic(spark, sf_dir), "5 seconds", v.DATABASE)
     return plain(drained(spark, "stream-refund", undated(rows)), "et", "cur_date")
 
 

@@ -544,7 +544,7 @@ od as (
     cast(cast(l_tax as decimal(16,2)) as double) as split_coupon_amount,
     cast(cast(l_extendedprice as decimal(16,2)) as double) as split_total_amount,
     base + l_linenumber * 6 as ts
-  from li join orders on l_orderkey = o_orderkey and l_linenumber * 6 <= 30
+  from li join orders on l_orderkey = o_orderkey
   left join (select line_id as aid, l_suppkey as activity_id, l_linenumber as rule from li where l_discount > 0.05) act
     on line_id = aid
   left join (select line_id as cid, l_suppkey as coupon_id from li where l_returnflag = 'R') cou

@@ -213,13 +213,16 @@ def offset_versions(
     """Undo replaced versions: every row, and each replaced row again with its measures negated.
 
     Sums over the result equal sums over the latest versions, in every group a version ever fell
-    into. A NULL measure counts as 0 when negated.
+    into. A NULL measure counts as 0 when negated. ``order`` must tell the versions of a key apart: rows that
+    agree on keys and order are the same version delivered again, and count once. Rows without a time are left
+    out, as they fall into no window.
     """
     if df.isStreaming:
         from streammart.streaming.keyed import stream_offset_versions
 
         return stream_offset_versions(df, keys, order, measures, et, ttl, delay)
-    marked = mark_extreme(df, keys, order, "_latest", latest=True)
+    once = df.filter(F.col(et).isNotNull()).dropDuplicates([*keys, *order])
+    marked = mark_extreme(once, keys, order, "_latest", latest=True)
     sign = F.when(F.col("_latest") == 1, F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(-1)))
     signed = marked.withColumn("_sign", F.explode(sign)).drop("_latest")
     types = dict(df.dtypes)

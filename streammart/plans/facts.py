@@ -1,7 +1,9 @@
 """Fact tables (D1-D10), one builder per table.
 
 Each takes change-log rows (batch or stream) and returns typed rows; amounts are exact decimals.
-``bound`` is the event-time distance two joined records may have; a batch may pass None.
+``bound`` is the event-time distance two joined records may have. A batch needs none and keeps every pair;
+a join of two streams must name one, as it bounds the state (30 seconds for order lines, 910 seconds for
+cancelled orders and 5 seconds for refunds are the surveyed settings).
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ def _of(changes: DataFrame, table: str, database: str | None) -> DataFrame:
 
 
 def fact_order_detail(
-    changes: DataFrame, bound: str | None = "30 seconds", database: str | None = None
+    changes: DataFrame, bound: str | None = None, database: str | None = None
 ) -> DataFrame:
     """Order lines with their order, and with activity and coupon where there is one.
 
@@ -109,7 +111,7 @@ def with_processing_times(fact: DataFrame) -> DataFrame:
 def fact_order_cancel(
     order_detail: DataFrame,
     changes: DataFrame,
-    bound: str | None = "910 seconds",
+    bound: str | None = None,
     database: str | None = None,
 ) -> DataFrame:
     """The lines of orders that went from placed to cancelled, with the time of cancelling."""
@@ -207,7 +209,7 @@ def name_payments(rows: DataFrame, dic: DataFrame) -> DataFrame:
 
 
 def join_refunds(
-    changes: DataFrame, bound: str | None = "5 seconds", database: str | None = None
+    changes: DataFrame, bound: str | None = None, database: str | None = None
 ) -> DataFrame:
     """Refund requests with the province of their order."""
     request = changes_of(
@@ -261,7 +263,7 @@ def name_refunds(rows: DataFrame, dic: DataFrame) -> DataFrame:
 def fact_refund(
     changes: DataFrame,
     dic: DataFrame,
-    bound: str | None = "5 seconds",
+    bound: str | None = None,
     database: str | None = None,
 ) -> DataFrame:
     """Refund requests with the names of type and reason."""
@@ -269,7 +271,7 @@ def fact_refund(
 
 
 def join_refund_payments(
-    changes: DataFrame, bound: str | None = "5 seconds", database: str | None = None
+    changes: DataFrame, bound: str | None = None, database: str | None = None
 ) -> DataFrame:
     """Refunds paid out, with the refund line's quantity and the order's user and province."""
     paid = transition(_of(changes, "refund_payment", database), "refund_status", REFUND_PAID)
@@ -319,7 +321,7 @@ def name_refund_payments(rows: DataFrame, dic: DataFrame) -> DataFrame:
 def fact_refund_payment(
     changes: DataFrame,
     dic: DataFrame,
-    bound: str | None = "5 seconds",
+    bound: str | None = None,
     database: str | None = None,
 ) -> DataFrame:
     """Refunds paid out, with the name of the payment type."""

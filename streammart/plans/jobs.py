@@ -90,16 +90,22 @@ def start_dim_job(
         routed = route_dims(clean_changelog(batch, database).withColumn("_n", arrival), routes, "_n")
         routed = routed.persist()
         try:
+            # Routes into one dimension are applied together: a batch id is used once for each table.
+            sinks: dict[str, dict[str, None]] = {}
             for route in config:
-                name, columns = route["sink_table"], route["sink_columns"].split(",")
+                sinks.setdefault(route["sink_table"], {}).update(dict.fromkeys(route["sink_columns"].split(",")))
+            for name, wanted in sinks.items():
+                columns = list(wanted)
                 table = UpsertTable(spark, f"{root}/{name}", ["row_key"], buckets)
 
-                def build(current: DataFrame | None, rows: DataFrame) -> DataFrame:
+                def build(current: DataFrame | None, rows: DataFrame, columns=columns) -> DataFrame:
                     if current is not None:
                         missing = [c for c in columns if c not in current.columns]
                         current = current.withColumns(
                             {c: F.lit(None).cast("string") for c in missing}
                         )
+                        # Columns that no route names any more keep their cells.
+                        columns = [*columns, *(c for c in current.columns if c not in (*columns, "row_key"))]
                     return apply_dim_changes(current, rows, columns, ["ts", "_n"])
 
                 rows = routed.filter(F.col("sink_table") == name)

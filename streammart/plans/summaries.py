@@ -258,9 +258,13 @@ def sku_orders(
     delay: str = "0 seconds",
     order: tuple[str, ...] = ("et",),
     on_missing: str = "fail",
+    ttl: str = "1 hour",
 ) -> DataFrame:
-    """Order amounts per product with its attributes; corrected order lines count once."""
-    return sku_attributes(sku_amounts(order_detail, width, delay, order), dims, on_missing)
+    """Order amounts per product with its attributes; corrected order lines count once.
+
+    A stream forgets a version ``ttl`` of event time after it; a later correction would then be added.
+    """
+    return sku_attributes(sku_amounts(order_detail, width, delay, order, ttl), dims, on_missing)
 
 
 def province_totals(
@@ -315,6 +319,7 @@ def province_orders(
     delay: str = "0 seconds",
     order: tuple[str, ...] = ("et",),
     on_missing: str = "fail",
+    ttl: str = "1 hour",
 ) -> DataFrame:
-    """Orders (each counted once) and amounts per province, with its name."""
-    return province_names(province_totals(order_detail, width, delay, order), province, on_missing)
+    """Orders (each counted once) and amounts per province, with its name; ``ttl`` as in :func:`sku_orders`."""
+    return province_names(province_totals(order_detail, width, delay, order, ttl), province, on_missing)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from streammart.functions import snake_name
@@ -98,6 +101,14 @@ def write_routed(
     return None
 
 
+def merged_schema(known: dict | None, new: T.StructType) -> dict:
+    """The stored schema of a table, with the columns that a batch adds to it."""
+    fields = list(T.StructType.fromJson(known).fields) if known else []
+    names = {f.name for f in fields}
+    fields += [T.StructField(f.name, f.dataType, True) for f in new if f.name not in names]
+    return T.StructType(fields).jsonValue()
+
+
 class UpsertTable:
     """Parquet rows, one per key, in hash buckets; a merge rewrites only the buckets it touches.
 
@@ -133,23 +144,29 @@ class UpsertTable:
     def _state(self) -> tuple[int, dict]:
         versions = self._versions()
         if not versions:
-            return -1, {"buckets": {}, "sources": {}}
+            return -1, {"buckets": {}, "sources": {}, "schema": None}
         line = self.spark.read.text(f"{self.root}/log/{versions[-1]}").first()["value"]
         return versions[-1], json.loads(line)
 
-    def _load(self, folders: dict[str, int]) -> DataFrame | None:
+    def _load(self, folders: dict[str, int], schema: dict | None) -> DataFrame | None:
+        """Buckets written before a column was added answer NULL for it."""
         paths = [f"{self.root}/data/{v}/_bucket={b}" for b, v in folders.items()]
-        return self.spark.read.parquet(*paths) if paths else None
+        if not paths:
+            return None
+        if schema is None:
+            return self.spark.read.option("mergeSchema", "true").parquet(*paths)
+        return self.spark.read.schema(T.StructType.fromJson(schema)).parquet(*paths)
 
     def exists(self) -> bool:
         return bool(self._versions())
 
     def read(self, parts: list[str] | None = None) -> DataFrame:
         """The current rows; of the given parts only, if the table has parts."""
-        folders = self._state()[1]["buckets"]
+        state = self._state()[1]
+        folders = state["buckets"]
         if parts is not None:
             folders = {b: at for b, at in folders.items() if b.rpartition(".")[0] in parts}
-        rows = self._load(folders)
+        rows = self._load(folders, state.get("schema"))
         if rows is None:
             raise FileNotFoundError(f"no rows have been merged into {self.root}")
         return rows
@@ -181,8 +198,11 @@ class UpsertTable:
             touched = [r[0] for r in changes.select(self.bucket_of()).distinct().collect()]
             if not touched:
                 return False
-            current = self._load({b: state["buckets"][b] for b in touched if b in state["buckets"]})
-            rows = build(current, changes).withColumn("_bucket", self.bucket_of())
+            held = {b: state["buckets"][b] for b in touched if b in state["buckets"]}
+            current = self._load(held, state.get("schema"))
+            built = build(current, changes)
+            rows = built.withColumn("_bucket", self.bucket_of())
+            state["schema"] = merged_schema(state.get("schema"), built.schema)
             version += 1
             target = f"{self.root}/data/{version}"
             rows.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy(
@@ -277,13 +297,16 @@ def write_summary(
     checkpoint: str | None = None,
     trigger: Trigger | None = None,
     finish: Finish | None = None,
+    batch: str | None = None,
 ) -> StreamingQuery | None:
     """Summary rows as Parquet below ``cur_date=``, so that a day's query opens one folder.
 
-    A replayed micro-batch overwrites the folders it wrote the first time.
+    A replayed micro-batch of a checkpoint overwrites the folders it wrote the first time. Each batch write
+    adds rows under an id of its own, or under ``batch``, where it replaces what was written under that id.
+    Streams of different checkpoints do not meet either.
     """
 
-    def save(rows: DataFrame, batch_id: int) -> None:
+    def save(rows: DataFrame, batch_id: str) -> None:
         (
             (finish(rows) if finish else rows)
             .withColumn("batch_id", F.lit(batch_id))
@@ -295,9 +318,10 @@ def write_summary(
         )
 
     if not df.isStreaming:
-        save(df, 0)
+        save(df, f"batch-{batch or uuid.uuid4().hex}")
         return None
-    return start_stream(df, checkpoint, save, trigger).start()
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    return start_stream(df, checkpoint, lambda rows, n: save(rows, f"{stream}-{n}"), trigger).start()
 
 
 def read_summary(spark: SparkSession, root: str) -> DataFrame:

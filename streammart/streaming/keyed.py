@@ -41,7 +41,7 @@ def keep_first_rows(df: DataFrame, groups: list[str], order: list[str]) -> DataF
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                first = pdf.sort_values(order).drop_duplicates(groups)
+                first = pdf.sort_values(order, na_position="first").drop_duplicates(groups)
                 newest = pdf.loc[[pdf["et"].idxmax()]]
                 yield first if newest.index[0] in first.index else pd.concat([first, newest])
 
@@ -51,8 +51,11 @@ def keep_first_rows(df: DataFrame, groups: list[str], order: list[str]) -> DataF
 def _candidates(
     df: DataFrame, keys: dict, payload: dict, et: str, groups: list[str], delay: str
 ) -> DataFrame:
-    """Watermarked rows that may be the first of their key, reduced where that is possible."""
-    rows = df.select(
+    """Watermarked rows that may be the first of their key, reduced where that is possible.
+
+    Rows without a time belong to no day and are left out, as in a batch.
+    """
+    rows = df.filter(F.col(et).isNotNull()).select(
         *[F.col(c).alias(name) for name, c in keys.items()],
         *[F.col(c).alias(name) for name, c in payload.items()],
         F.col(et).alias("et"),
@@ -122,7 +125,7 @@ def stream_fix_new_flag(logs: DataFrame, key: str, flag: str, et: str) -> DataFr
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             claiming = pdf["row"].notna()
-            first = pdf[~claiming].sort_values("et").drop_duplicates("_mid")
+            first = pdf[~claiming].sort_values("et", na_position="first").drop_duplicates("_mid")
             yield pd.concat([pdf[claiming], first])
 
     judged = (
@@ -153,7 +156,7 @@ def stream_offset_versions(
     delay: str,
     buckets: int = 256,
 ) -> DataFrame:
-    rows = ensure_watermark(df, et, delay).withColumn("et_ms", F.unix_millis(F.col(et)))
+    rows = ensure_watermark(df, et, delay).filter(F.col(et).isNotNull()).withColumn("et_ms", F.unix_millis(F.col(et)))
     fields = [T.StructField(f.name, f.dataType) for f in rows.schema]
     rows = rows.withColumn("_bucket", bucket_of(keys, buckets))
     out = rows.groupBy("_bucket").transformWithStateInPandas(

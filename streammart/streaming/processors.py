@@ -126,7 +126,7 @@ class OffsetVersions(StatefulProcessor):
         held = unpack(bytes(value[0])) if value else None
         for pdf in rows:
             known = pdf if held is None or held.empty else pd.concat([held, pdf])
-            known = known.sort_values([*self.keys, *self.order])
+            known = known.sort_values([*self.keys, *self.order], na_position="first")
             replaced = known.duplicated(self.keys, keep="last")
             undone = known[replaced & (known["et_ms"] >= watermark)].copy()
             for m in self.measures:
@@ -156,7 +156,7 @@ class FirstSeen(StatefulProcessor):
         first = None
         for pdf in rows:
             both = pdf if first is None else pd.concat([first, pdf])
-            first = both.sort_values(self.order).drop_duplicates("seen_key")
+            first = both.sort_values(self.order, na_position="first").drop_duplicates("seen_key")
         if first is None:
             return
         value = self.seen.get()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import collect
 from streammart import schemas
+from streammart.operators import state
 from streammart.operators.joins import lookup
 from streammart.plans import jobs, summaries
 from streammart.sources import sinks, topics
@@ -225,3 +226,38 @@ def test_upsert_table_with_parts(spark, tmp_path):
     assert {d.split("=")[1].split(".")[0] for d in os.listdir(tmp_path / "t" / "data" / "1") if "=" in d} == {"d1"}
     assert table.read().count() == 40 and table.read(["d1"]).count() == 10
     assert table.read().agg(F.sum("v")).first()[0] == 10
+
+
+def test_upsert_table_keeps_cells_of_added_columns(spark, tmp_path):
+    table = sinks.UpsertTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
+    table.merge(spark.range(40).selectExpr("id", "'a' as name", "1 as v"), ["v"])
+    later = spark.createDataFrame([(i, "b", "s", 2) for i in (0, 1, 2, 50)], "id long, name string, seg string, v int")
+    table.merge(later, ["v"])
+    table.merge(spark.range(10, 30).selectExpr("id", "'c' as name", "3 as v"), ["v"])
+    rows = {r["id"]: r for r in table.read().collect()}
+    assert len(rows) == 41
+    assert {i for i, r in rows.items() if r["seg"] == "s"} == {0, 1, 2, 50}
+    assert {r["name"] for i, r in rows.items() if 10 <= i < 30} == {"c"}
+
+
+def test_two_routes_into_one_dimension(spark, tmp_path, topic):
+    log = topic("topic_db")
+    routes = [tuple(route(t, "dim_ab", f"id,{c}").values()) for t, c in (("a", "x"), ("b", "y"))]
+    dims, ck = str(tmp_path / "dims"), str(tmp_path / "ck")
+    log.put(change("a", "insert", {"id": "1", "x": "left"}), change("b", "insert", {"id": "1", "y": "right"}))
+    changes = topics.read_changelog(spark, root=str(tmp_path), streaming=True, delay=None)
+    reader = lambda: spark.createDataFrame(routes, schemas.DIM_ROUTE)
+    run(jobs.start_dim_job(changes, reader, dims, "shop", ck, NOW, buckets=4))
+    assert collect(read_dim(spark, dims, "dim_ab").select("id", "x", "y")) == [("1", "left", "right")]
+
+
+def test_summary_batches_of_one_day_add_up(spark, tmp_path):
+    for name in ("x", "y"):
+        sinks.write_summary(spark.createDataFrame([("2024-01-01", name)], "cur_date string, ch string"), str(tmp_path / "s"))
+    assert sorted(r["ch"] for r in sinks.read_summary(spark, str(tmp_path / "s")).collect()) == ["x", "y"]
+
+
+def test_redelivered_versions_and_rows_without_time(spark):
+    rows = [("k", 1, 10.0, "2024-01-01"), ("k", 2, 7.0, "2024-01-01"), ("k", 2, 7.0, "2024-01-01"), ("k", 3, 5.0, None)]
+    df = spark.createDataFrame(rows, "id string, v int, amount double, t string").selectExpr("id", "v", "amount", "to_timestamp(t) as et")
+    assert state.offset_versions(df, ["id"], ["et", "v"], ["amount"]).agg({"amount": "sum"}).first()[0] == 7.0

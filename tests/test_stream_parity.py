@@ -98,17 +98,17 @@ def test_fact(spark, live, name):
         changes = v.trade_changes(spark, sf)
         if changes.isStreaming:
             changes = changes.withWatermark("et", "3 seconds")
-        detail = facts.fact_order_detail(changes)
+        detail = facts.fact_order_detail(changes, "30 seconds")
         if name == "order_detail":
             return detail
         if name == "payment":
             # What a job reads is the fact table, a source with a watermark of its own.
             return facts.fact_payment(lines(sf), changes, v.region_dic(spark, SMALL))
         if name == "cancel":
-            return facts.fact_order_cancel(lines(sf), changes)
+            return facts.fact_order_cancel(lines(sf), changes, "910 seconds")
         if name == "refund":
-            return facts.fact_refund(changes, v.nation_dic(spark, SMALL))
-        return facts.fact_refund_payment(changes, v.region_dic(spark, SMALL))
+            return facts.fact_refund(changes, v.nation_dic(spark, SMALL), "5 seconds")
+        return facts.fact_refund_payment(changes, v.region_dic(spark, SMALL), "5 seconds")
 
     def lines(sf):
         rows = v.trade_changes(spark, sf).filter("`table` = 'order_detail'")
