@@ -147,9 +147,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     pick = unit_hash(F.col("doc_id"), F.lit("language"))
     parts = stored(gathered(rows.select("text", "lang", pick.alias("pick"), rates[F.col("lang")].alias("rate"))), "langid")
     # At most one row a slot: a table of fixed size.
-    frequency = parts.filter("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    frequency = parts.filter("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     sample = parts.filter("pick is not null").select("pick", "lang", "slots", "counts")
-    sample = sample.orderBy("pick", "slots").limit(sample_rows).collect()
+    sample = sample.orderBy("pick", "slots").limit(sample_rows).toArrow()
     total = int(frequency.loc[frequency["slot"] < 0, "n"].iloc[0])
     own = frequency[frequency["slot"] >= 0]
     seen = np.zeros(width)
@@ -157,10 +157,10 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     idf = np.log((1 + total) / (1 + seen)) + 1
     number = {lang: i for i, lang in enumerate(languages)}
     examples = []
-    for row in sample:
-        slots = np.frombuffer(row.slots, np.int32)
-        values = weighted(slots, np.frombuffer(row.counts, np.float32), idf)
-        examples.append((np.append(slots, width), np.append(values, 1.0), number[row.lang]))
+    for lang, own_slots, own_counts in zip(sample.column("lang").to_pylist(), sample.column("slots"), sample.column("counts")):
+        slots = np.frombuffer(own_slots.as_buffer(), np.int32)
+        values = weighted(slots, np.frombuffer(own_counts.as_buffer(), np.float32), idf)
+        examples.append((np.append(slots, width), np.append(values, 1.0), number[lang]))
     held = examples[::5] if len(examples) >= 50 else []
     weights = follow_leader([e for i, e in enumerate(examples) if not held or i % 5], width + 1, len(languages))
     scores = np.array([values @ weights[slots] for slots, values, _ in held])

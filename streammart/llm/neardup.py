@@ -207,22 +207,21 @@ def branch(classes: DataFrame, percent: int) -> tuple[list[DataFrame], list[Data
     return leaves, stars, large
 
 
-def across(
-    rows: DataFrame, fine: DataFrame, parts: DataFrame, percent: int, pivots: int | None, last: bool = False
-) -> DataFrame:
+def across(rows: DataFrame, fine: DataFrame, parts: DataFrame, percent: int, pivots: int | None) -> DataFrame:
     """Pairs of different components in large nodes: the classes outside a node's largest component, with others.
 
     With ``pivots``, the others are about that many members of the largest component, picked by a hash of their
     own, so that nodes of other trees and levels mostly pick the same ones. Without,
     they are the whole node; nodes with more such classes than a leaf holds are then left to their children,
-    unless there are none (``last``).
+    unless there are none (the column ``last``).
     """
     parts = parts.withColumnRenamed("node", "key")
-    rows = rows.drop("path").join(fine, "key").join(parts, "key", "left").withColumn("part", F.coalesce("label", "key")).drop("label")
-    shares = rows.groupBy("node", "part").agg(F.count("*").alias("rows"))
-    most = shares.groupBy("node").agg(F.sum("rows").alias("all"), F.max(F.struct("rows", "part")).alias("top"))
-    most = most.select("node", F.col("top.part").alias("top"), F.col("top.rows").alias("inside"), (F.col("all") - F.col("top.rows")).alias("outside"))
-    few = (F.col("inside") > 1) if pivots else F.lit(last) | (F.col("outside") <= LEAF)
+    rows = rows.join(fine, "key").join(parts, "key", "left").withColumn("part", F.coalesce("label", "key")).drop("label")
+    shares = rows.groupBy("node", "last", "part").agg(F.count("*").alias("rows"))
+    most = shares.groupBy("node", "last").agg(F.sum("rows").alias("all"), F.max(F.struct("rows", "part")).alias("top"))
+    top = (F.col("top.part").alias("top"), F.col("top.rows").alias("inside"), (F.col("all") - F.col("top.rows")).alias("outside"))
+    most = most.select("node", F.col("last").alias("leafless"), *top)
+    few = (F.col("inside") > 1) if pivots else F.col("leafless") | (F.col("outside") <= LEAF)
     rows = rows.join(most.filter((F.col("outside") > 0) & few), "node")
     rest = rows.filter("part != top")
     if pivots:
@@ -281,12 +280,14 @@ def connected(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     parts = components(links)
     if not large:
         return parts
+    # Node ids of all levels differ, so the levels need not be told apart.
+    nodes = union_of([rows.drop("path").withColumn("last", F.lit(i == DEPTH - 1)) for i, rows in enumerate(large)])
     fine, tried = items.select("key", "bits"), None
     for pivots in (PIVOTS, None):
-        frames = [across(rows, fine, parts, percent, pivots, i == DEPTH - 1) for i, rows in enumerate(large)]
-        if pivots:
-            frames += [apart(deeper, parts) for deeper in leaves[1:]]
-        pairs = union_of(frames).distinct()
+        pairs = across(nodes, fine, parts, percent, pivots)
+        if pivots and leaves[1:]:
+            pairs = pairs.union(apart(union_of(leaves[1:]), parts))
+        pairs = pairs.distinct()
         tried = stored(pairs.join(tried, ["a", "b"], "left_anti") if tried else pairs, "candidates")
         more = confirmed(tried, items, percent)
         if not more.isEmpty():

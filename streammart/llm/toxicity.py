@@ -95,9 +95,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     parts = stored(gathered(rows.select("text", "toxic", "pick"), rate), "toxicity")
     # At most one row a slot: a table of fixed size.
     counts = parts.filter("slot is not null").groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    counts = counts.toPandas()
-    sample = parts.filter("pick is not null").select("pick", "label", "slots").orderBy("pick", "slots").limit(sample_rows).collect()
-    return fit(counts, [(np.frombuffer(r.slots, np.int32), r.label) for r in sample])
+    counts = counts.toArrow().to_pandas()
+    sample = parts.filter("pick is not null").select("pick", "label", "slots").orderBy("pick", "slots").limit(sample_rows)
+    sample = sample.toArrow()
+    slots = [np.frombuffer(s.as_buffer(), np.int32) for s in sample.column("slots")]
+    return fit(counts, list(zip(slots, sample.column("label").to_pylist())))
 
 
 def fit(counts: pd.DataFrame, sample: list[tuple[np.ndarray, int]]) -> Model:
