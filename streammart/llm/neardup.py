@@ -8,7 +8,8 @@ first ``STARS`` levels all classes are compared with one pivot, which joins the
 branches. Then the classes
 outside a large node's largest component are compared with ``PIVOTS`` more members of that component, and what is
 still outside is compared with the whole node, if it is at most ``LEAF`` classes or the node is as deep as trees
-go; else the node's children do it. Pairs that are already connected are not compared again. A link at the threshold is missed by one tree of depth d with chance
+go; else the node's children do it. Pairs that are already connected are not compared again,
+and a pair that meets in several large nodes is made in one of them. A link at the threshold is missed by one tree of depth d with chance
 1 - 0.85^d: 12 trees miss it with 2e-10 at depth 1, 2e-5 at depth 3 and 4e-3 at depth 6, and for links of
 one large group only if no other path joins its members.
 
@@ -28,7 +29,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streammart.llm.common import slices, stored, unit_hash
@@ -175,19 +176,19 @@ def likelier(percent: int) -> Column:
 
 
 def _side(rows: DataFrame, prefix: str) -> DataFrame:
-    names = [c for c in ("key", "n", "s0", "s1", "bits", "part", "top") if c in rows.columns]
+    names = [c for c in ("key", "n", "s0", "s1", "bits", "part", "top", "nodes") if c in rows.columns]
     return rows.select("node", *(F.col(c).alias(f"{prefix}_{c}") for c in names))
 
 
 def _pairs(joined: DataFrame, percent: int) -> DataFrame:
     pairs = joined.filter(F.col("a_key") != F.col("b_key")).filter(likely(percent))
-    return pairs.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
+    return pairs.select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b"))
 
 
 def branch(classes: DataFrame, percent: int) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
     """Candidate pairs of small nodes by level, of pivots by level, and the rows of the large nodes by level."""
     leaves, stars, large = [], [], []
-    rows = classes.select("key", "n", "s0", "s1", F.explode("trees").alias("path"))
+    rows = classes.select("key", "n", "s0", "s1", F.posexplode("trees").alias("tree", "path"))
     for level in range(DEPTH):
         here = rows.withColumn("node", F.col("path")[level])
         sizes = here.groupBy("node").agg(F.count("*").alias("rows")).filter("rows > 1")
@@ -195,7 +196,7 @@ def branch(classes: DataFrame, percent: int) -> tuple[list[DataFrame], list[Data
         small = here.filter(F.col("rows") <= LEAF)
         both = _side(small, "a").join(_side(small, "b"), "node").filter("a_key < b_key")
         leaves.append(stored(_pairs(both, percent).distinct(), "pairs"))
-        rows = stored(here.filter(F.col("rows") > LEAF).select("node", "key", "n", "s0", "s1", "path"), "nodes")
+        rows = stored(here.filter(F.col("rows") > LEAF).select("node", "key", "n", "s0", "s1", "tree", "path"), "nodes")
         if rows.isEmpty():
             break
         large.append(rows)
@@ -213,25 +214,32 @@ def across(rows: DataFrame, fine: DataFrame, parts: DataFrame, percent: int, piv
     With ``pivots``, the others are about that many members of the largest component, picked by a hash of their
     own, so that nodes of other trees and levels mostly pick the same ones. Without,
     they are the whole node; nodes with more such classes than a leaf holds are then left to their children,
-    unless there are none (the column ``last``).
+    unless there are none, and the children of a node compared as a whole are left out, for they have no other
+    pairs. Each pair is made in one of the nodes where it meets.
     """
     parts = parts.withColumnRenamed("node", "key")
     rows = rows.join(fine, "key").join(parts, "key", "left").withColumn("part", F.coalesce("label", "key")).drop("label")
-    shares = rows.groupBy("node", "last", "part").agg(F.count("*").alias("rows"))
-    most = shares.groupBy("node", "last").agg(F.sum("rows").alias("all"), F.max(F.struct("rows", "part")).alias("top"))
+    shares = rows.groupBy("node", "level", "part").agg(F.count("*").alias("rows"))
+    most = shares.groupBy("node", "level").agg(F.sum("rows").alias("all"), F.max(F.struct("rows", "part")).alias("top"))
     top = (F.col("top.part").alias("top"), F.col("top.rows").alias("inside"), (F.col("all") - F.col("top.rows")).alias("outside"))
-    most = most.select("node", F.col("last").alias("leafless"), *top)
-    few = (F.col("inside") > 1) if pivots else F.col("leafless") | (F.col("outside") <= LEAF)
-    rows = rows.join(most.filter((F.col("outside") > 0) & few), "node")
-    rest = rows.filter("part != top")
+    few = (F.col("inside") > 1) if pivots else (F.col("level") == DEPTH - 1) | (F.col("outside") <= LEAF)
+    most = most.select("node", "level", *top).filter((F.col("outside") > 0) & few).drop("level")
+    rows, outer = rows.join(most, "node"), F.col("part") != F.col("top")
     if pivots:
         share = unit_hash(F.col("key"), F.lit("pivot"))
-        others = rows.filter((F.col("part") == F.col("top")) & (share * F.col("inside") < pivots))
+        others, rest = with_nodes(rows.filter(~outer & (share * F.col("inside") < pivots))), with_nodes(rows.filter(outer))
     else:
-        others = rows
+        whole = F.min("level").over(Window.partitionBy("key", "tree"))
+        others = with_nodes(rows.withColumn("whole", whole).filter("level = whole"))
+        rest = others.filter(outer)
     joined = _side(others, "a").join(_side(rest.drop("top"), "b"), "node")
-    joined = joined.filter("a_part != b_part and (a_part = a_top or a_key < b_key)")
-    return _pairs(joined.filter(likelier(percent)), percent)
+    joined = joined.filter("a_part != b_part and (a_part = a_top or a_key < b_key)").filter(likelier(percent))
+    return _pairs(joined.filter("node = array_min(array_intersect(a_nodes, b_nodes))"), percent)
+
+
+def with_nodes(rows: DataFrame) -> DataFrame:
+    """Adds all nodes of each row's class in ``rows``: at most one for each tree and level."""
+    return rows.withColumn("nodes", F.collect_list("node").over(Window.partitionBy("key")))
 
 
 def apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -281,7 +289,7 @@ def connected(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     if not large:
         return parts
     # Node ids of all levels differ, so the levels need not be told apart.
-    nodes = union_of([rows.drop("path").withColumn("last", F.lit(i == DEPTH - 1)) for i, rows in enumerate(large)])
+    nodes = union_of([rows.drop("path").withColumn("level", F.lit(i)) for i, rows in enumerate(large)])
     fine, tried = items.select("key", "bits"), None
     for pivots in (PIVOTS, None):
         pairs = across(nodes, fine, parts, percent, pivots)
