@@ -208,9 +208,10 @@ def branch(classes: DataFrame, percent: int) -> tuple[list[DataFrame], list[Data
     return leaves, stars, large
 
 
-def across(rows: DataFrame, fine: DataFrame, parts: DataFrame, percent: int, pivots: int | None) -> DataFrame:
+def across(held: DataFrame, parts: DataFrame, percent: int, pivots: int | None) -> DataFrame:
     """Pairs of different components in large nodes: the classes outside a node's largest component, with others.
 
+    ``held`` has a row for each class: key, n, s0, s1, bits, and ``at``, its large nodes with level and tree.
     With ``pivots``, the others are about that many members of the largest component, picked by a hash of their
     own, so that nodes of other trees and levels mostly pick the same ones. Without,
     they are the whole node; nodes with more such classes than a leaf holds are then left to their children,
@@ -218,30 +219,33 @@ def across(rows: DataFrame, fine: DataFrame, parts: DataFrame, percent: int, piv
     pairs. Each pair is made in one of the nodes where it meets.
     """
     parts = parts.withColumnRenamed("node", "key")
-    rows = rows.join(fine, "key").join(parts, "key", "left").withColumn("part", F.coalesce("label", "key")).drop("label")
+    held = held.join(parts, "key", "left").withColumn("part", F.coalesce("label", "key")).drop("label")
+    rows = held.select("key", "part", F.inline("at"))
     shares = rows.groupBy("node", "level", "part").agg(F.count("*").alias("rows"))
     most = shares.groupBy("node", "level").agg(F.sum("rows").alias("all"), F.max(F.struct("rows", "part")).alias("top"))
     top = (F.col("top.part").alias("top"), F.col("top.rows").alias("inside"), (F.col("all") - F.col("top.rows")).alias("outside"))
     few = (F.col("inside") > 1) if pivots else (F.col("level") == DEPTH - 1) | (F.col("outside") <= LEAF)
     most = most.select("node", "level", *top).filter((F.col("outside") > 0) & few).drop("level")
-    rows, outer = rows.join(most, "node"), F.col("part") != F.col("top")
+    rows, outer = stored(rows.join(most, "node"), "places"), F.col("part") != F.col("top")
+
+    def side(chosen: DataFrame) -> DataFrame:
+        """The chosen rows with all that pairs need; joined by class, and then spread over its nodes again."""
+        places = chosen.groupBy("key").agg(F.collect_list(F.struct("node", "top")).alias("places"))
+        classes = held.drop("at").join(places, "key")
+        return classes.select("key", "n", "s0", "s1", "bits", "part", F.col("places.node").alias("nodes"), F.inline("places"))
+
     if pivots:
         share = unit_hash(F.col("key"), F.lit("pivot"))
-        others, rest = with_nodes(rows.filter(~outer & (share * F.col("inside") < pivots))), with_nodes(rows.filter(outer))
+        others, rest = side(rows.filter(~outer & (share * F.col("inside") < pivots))), side(rows.filter(outer))
     else:
         whole = F.min("level").over(Window.partitionBy("key", "tree"))
-        others = with_nodes(rows.withColumn("whole", whole).filter("level = whole"))
+        others = side(rows.withColumn("whole", whole).filter("level = whole"))
         rest = others.filter(outer)
     joined = _side(others, "a").join(_side(rest.drop("top"), "b"), "node")
     joined = joined.filter("a_part != b_part and (a_part = a_top or a_key < b_key)").filter(likelier(percent))
     return _pairs(joined.filter("node = array_min(array_intersect(a_nodes, b_nodes))"), percent)
 
 
-def with_nodes(rows: DataFrame) -> DataFrame:
-    """Adds all nodes of each row's class in ``rows``: at most one for each tree and level."""
-    return rows.withColumn("nodes", F.collect_list("node").over(Window.partitionBy("key")))
-
-
 def apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component yet."""
     for end in ("a", "b"):
@@ -288,11 +292,13 @@ def connected(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     parts = components(links)
     if not large:
         return parts
-    # Node ids of all levels differ, so the levels need not be told apart.
-    nodes = union_of([rows.drop("path").withColumn("level", F.lit(i)) for i, rows in enumerate(large)])
-    fine, tried = items.select("key", "bits"), None
+    places = [rows.withColumn("place", F.struct(F.lit(i).alias("level"), "tree", "node")) for i, rows in enumerate(large)]
+    held = union_of([rows.select("key", "n", "s0", "s1", "place") for rows in places])
+    # At most one place of a class for each tree and level.
+    held = held.groupBy("key", "n", "s0", "s1").agg(F.collect_list("place").alias("at"))
+    held, tried = stored(held.join(items.select("key", "bits"), "key"), "held"), None
     for pivots in (PIVOTS, None):
-        pairs = across(nodes, fine, parts, percent, pivots)
+        pairs = across(held, parts, percent, pivots)
         if pivots and leaves[1:]:
             pairs = pairs.union(apart(union_of(leaves[1:]), parts))
         pairs = pairs.distinct()
