@@ -17,8 +17,14 @@ ROW = "_row_number"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Rows with a number that the same files give again each time they are read."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """Rows with a name, the digest of their file and their place in it: the same however a scan is cut into tasks.
+
+    What is not a plain scan of files is written first.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs = stored(docs, "numbered")
+    at = docs.metadataColumn("_metadata")
+    return docs.withColumn(ROW, F.unhex(F.md5(F.concat_ws("#", at["row_index"], at["file_path"]).cast("binary"))))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

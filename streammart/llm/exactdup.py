@@ -42,8 +42,8 @@ def normalised(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_id"), *columns], names)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, row_id long, n_chars long, body binary, lead binary, digest binary"
+    kind, row_kind = (docs.schema[c].dataType.simpleString() for c in ("doc_id", "row_id"))
+    schema = f"doc_id {kind}, row_id {row_kind}, n_chars long, body binary, lead binary, digest binary"
     return docs.select("doc_id", "row_id", "text").mapInArrow(run, schema)
 
 
@@ -54,7 +54,7 @@ def marked(ordered: DataFrame) -> DataFrame:
     two rows, or the first or last of the partition, with its size and the id of its first row; edge: the
     partition's first and last body and its number of runs.
     """
-    id_type = ordered.schema["doc_id"].dataType
+    id_types = [ordered.schema[c].dataType.simpleString() for c in ("doc_id", "row_id")]
     names = ["what", "part", "run", "doc_id", "row_id", "digest", "opens", "size", "first", "last", "runs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +68,7 @@ def marked(ordered: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in slices(batches):
-            kinds["doc_id"] = batch.column("doc_id").type
+            kinds |= {c: batch.column(c).type for c in ("doc_id", "row_id")}
             rows = []
             for doc_id, row_id, body, digest in zip(
                 *(batch.column(c).to_pylist() for c in ("doc_id", "row_id", "body", "digest"))
@@ -92,8 +92,8 @@ def marked(ordered: DataFrame) -> DataFrame:
                 ]
             )
 
-    schema = "what string, part long, run long, doc_id {}, row_id long, digest binary, opens boolean, size long, first binary, last binary, runs long"
-    return ordered.mapInArrow(run, schema.format(id_type.simpleString()))
+    schema = "what string, part long, run long, doc_id {}, row_id {}, digest binary, opens boolean, size long, first binary, last binary, runs long"
+    return ordered.mapInArrow(run, schema.format(*id_types))
 
 
 def stitched(edges: DataFrame) -> DataFrame:

@@ -151,8 +151,8 @@ def described(docs: DataFrame) -> DataFrame:
             )
 
     docs = docs.select("doc_id", "row_id", "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, row_id long, n long, key binary, tid binary, s0 long, s1 long, trees array<array<long>>"
+    kind, row_kind = (docs.schema[c].dataType.simpleString() for c in ("doc_id", "row_id"))
+    schema = f"doc_id {kind}, row_id {row_kind}, n long, key binary, tid binary, s0 long, s1 long, trees array<array<long>>"
     return docs.mapInArrow(run, schema)
 
 

@@ -1,5 +1,7 @@
 """The pipeline's stages against plain computations on a small table."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from streammart.llm import toxicity
 from streammart.llm.common import stored, table
@@ -44,3 +46,21 @@ def test_stages_on_odd_rows(spark):
                 docs.collect()
             else:
                 assert docs.columns == schema.replace(" long", "").replace(" string", "").split(", ")
+
+
+def test_row_names_outlast_another_packing(spark, tmp_path):
+    """A scan cut into other tasks gives the same rows the same names, so that a second scan joins to the first."""
+    path = str(tmp_path / "docs")
+    table(spark, FOLDER, "documents").repartition(5, "doc_id").write.parquet(path)
+    named, name = [], "spark.sql.files.minPartitionNum"
+    try:
+        for cuts in ("1", "40"):
+            spark.conf.set(name, cuts)
+            named.append({r.doc_id: r[corpus_pipeline.ROW] for r in corpus_pipeline.numbered(spark.read.parquet(path)).collect()})
+    finally:
+        spark.conf.unset(name)
+    assert named[0] == named[1]
+    assert len(set(named[0].values())) == len(named[0]) == 200
+    # Not a plain scan: written first, so that its rows are told apart.
+    twice = spark.read.parquet(path).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    assert corpus_pipeline.numbered(twice).select(corpus_pipeline.ROW).distinct().count() == 400
