@@ -148,8 +148,10 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     parts = stored(gathered(rows.select("text", "lang", pick.alias("pick"), rates[F.col("lang")].alias("rate"))), "langid")
     # At most one row a slot: a table of fixed size.
     frequency = parts.filter("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
-    sample = parts.filter("pick is not null").select("pick", "lang", "slots", "counts")
-    sample = sample.orderBy("pick", "slots").limit(sample_rows).toArrow()
+    # A pick is below its language's rate; over the rate, the cut to the sample's size takes of each language alike.
+    turn = (F.col("pick") / rates[F.col("lang")]).alias("turn")
+    sample = parts.filter("pick is not null").select(turn, "lang", "slots", "counts")
+    sample = sample.orderBy("turn", "slots").limit(sample_rows).toArrow()
     total = int(frequency.loc[frequency["slot"] < 0, "n"].iloc[0])
     own = frequency[frequency["slot"] >= 0]
     seen = np.zeros(width)

@@ -206,6 +206,22 @@ def test_language_odd(spark, odd, empty):
     assert {r.lang_pred for r in unlabelled} == {"und"}
 
 
+def test_language_sample_keeps_a_rare_language(spark, monkeypatch):
+    """Five languages and one a thousandth as frequent: all rows of the rare one are learned from, of the others as many each."""
+    learned = []
+    real = langid.follow_leader
+    monkeypatch.setattr(langid, "follow_leader", lambda rows, *a: learned.extend(r[2] for r in rows) or real(rows, *a))
+    monkeypatch.setattr(langid, "temperature_of", lambda scores, labels: learned.extend(labels.tolist()) or 1.0)
+    common = 9000
+    lang = F.when(F.col("id") >= 5 * common, "rare").otherwise(F.concat(F.lit("l"), F.col("id") % 5))
+    docs = spark.range(5 * common + 9).select(F.col("id").alias("doc_id"), lang.alias("lang"), F.concat(F.lit("a "), lang).alias("text"))
+    model = langid.train(docs, 300)
+    kept = {name: learned.count(i) for i, name in enumerate(model.languages)}
+    rare = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(5 * common, 5 * common + 9))
+    assert sum(kept.values()) == 300 and kept["rare"] == rare > 0
+    assert all(40 <= n <= 80 for name, n in kept.items() if name != "rare")
+
+
 def test_near_duplicates(spark, small_dir, texts):
     rows = result("op5_near_duplicates", spark, small_dir)
     wanted = plain.near_components(texts)
