@@ -2,9 +2,13 @@
 
 The prefix array of a text holds, for each position, the polynomial hash of everything before it, modulo two
 primes. Differences of prefix values answer the equality of any two spans, and longest common extensions are
-found by binary search over them. A fingerprint is the length, a power-of-two grid step, and the prefix hashes
-at the at most 32 grid positions and the end; two fingerprints are compared on the coarser grid, extension by
-extension, and their likeness is the share of the longer text that lies in equal spans at equal positions.
+found by binary search over them. A fingerprint is the length, a power-of-two grid step, the prefix hashes
+at the at most 32 grid positions and the end, and the hashes of the spans of 16 code points whose hashes come
+first in a fixed order: 64 different ones, or the root of the length if that is more. Two fingerprints are
+compared on the coarser grid, extension by extension, for the share of the longer text in equal spans at equal
+positions; and by their chosen spans, wherever they stand, for the estimated share of the different spans of the
+text with more of them, at most the shorter length over the longer. Likeness is the larger of the two; that of
+texts with fewer than 16 code points is from the grid alone.
 
 Cases: null counts as empty; two empty texts are alike with 1, an empty and another with 0; a table of one row
 has itself as the next document; rows with equal ids follow each other by a hash of their text; null ids come
@@ -15,6 +19,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +33,19 @@ from streammart.llm.common import bounded_sample, partitions_of, slices
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 GRID = 32
+SPAN, SPANS = 16, 64
 
 
 class Powers:
     """Powers of the bases, extended by doubling; index i holds base**i."""
 
-    def __init__(self) -> None:
+    def __init__(self, bases: tuple[int, ...] = BASES) -> None:
+        self.bases = bases
         self.tables = [np.ones(1, np.uint64) for _ in PRIMES]
 
     def upto(self, n: int) -> list[np.ndarray]:
         while len(self.tables[0]) <= n:
-            for k, (prime, base) in enumerate(zip(PRIMES, BASES)):
+            for k, (prime, base) in enumerate(zip(PRIMES, self.bases)):
                 table = self.tables[k]
                 factor = np.uint64(pow(base, len(table), prime))
                 self.tables[k] = np.concatenate([table, table * factor % np.uint64(prime)])
@@ -46,6 +53,18 @@ class Powers:
 
 
 POWERS = Powers()
+INVERSES = Powers(tuple(pow(base, -1, prime) for prime, base in zip(PRIMES, BASES)))
+
+
+def ranked(hashes: np.ndarray) -> np.ndarray:
+    """The order in which spans are chosen, from their hashes by the first prime; different hashes stay different."""
+    turned = hashes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (turned ^ (turned >> np.uint64(32))) * np.uint64(0xD1342543DE82EF95)
+
+
+def spans_of(n: int) -> int:
+    """How many spans a text of n code points may choose."""
+    return max(SPANS, math.isqrt(n))
 
 
 class Prefixes:
@@ -84,24 +103,68 @@ class Prefixes:
                 high = middle - 1
         return low
 
+    def chosen(self) -> np.ndarray:
+        """Hashes by both primes of the chosen spans, a row each, in their order; the same wherever a span stands."""
+        count, most = self.n - SPAN + 1, spans_of(self.n)
+        if count < 1:
+            return np.zeros((0, 2), np.uint32)
+        inverses = INVERSES.upto(count)
+
+        def at(k: int, i: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
+            prime = np.uint64(PRIMES[k])
+            return (self.values[k][end] + prime - self.values[k][i]) * inverses[k][i] % prime
+
+        rank = ranked(at(0, slice(0, count), slice(SPAN, None)))
+        first, places = np.zeros(0), None
+        if count > 4 * most:  # most texts have few spans twice: a small part of the order is enough
+            places = np.flatnonzero(rank < np.uint64(2 * most * (1 << 64) // count))
+            first = np.unique(rank[places], return_index=True)[1]
+        if len(first) < most:
+            places, first = np.arange(count), np.unique(rank, return_index=True)[1]
+        places = places[first[:most]]
+        return np.stack([at(k, places, places + SPAN) for k in range(2)], axis=1).astype(np.uint32)
+
     def fingerprint(self) -> str:
         step = 1
         while step * GRID < self.n:
             step *= 2
         at = [*range(step, self.n, step), self.n] if self.n else []
         a, b = self.values
-        return f"{self.n}:{step}:" + "".join(f"{int(a[i]):08x}{int(b[i]):08x}" for i in at)
+        grid = "".join(f"{int(a[i]):08x}{int(b[i]):08x}" for i in at)
+        return f"{self.n}:{step}:{grid}:" + self.chosen().astype(">u4").tobytes().hex()
 
 
 def parsed(fingerprint: str) -> tuple[int, int, list[int]]:
-    n, step, data = fingerprint.split(":")
+    n, step, data = fingerprint.split(":")[:3]
     return int(n), int(step), [0, *(int(data[i : i + 16], 16) for i in range(0, len(data), 16))]
 
 
 def likeness(one: str, two: str) -> float:
+    """The larger of the shares that the grid and the chosen spans tell."""
+    return 1.0 if one == two else max(in_place(one, two), anywhere(one, two))
+
+
+def anywhere(one: str, two: str) -> float:
+    """Share of equal spans, as far as both fingerprints reach in the order of spans, in that with more of them."""
+    hashes, ranks, sizes, reach = [], [], [], None
+    for fingerprint in (one, two):
+        n, _, _, *data = fingerprint.split(":")
+        found = np.frombuffer(bytes.fromhex("".join(data)), ">u4").reshape(-1, 2)
+        if not len(found):
+            return 0.0
+        rank = ranked(found[:, 0])
+        if len(rank) >= spans_of(int(n)):
+            reach = rank[-1] if reach is None else min(reach, rank[-1])
+        sizes.append(int(n))
+        hashes.append(found.astype(np.uint64) @ np.array([1 << 32, 1], np.uint64))
+        ranks.append(rank)
+    own, his = (h if reach is None else h[r <= reach] for h, r in zip(hashes, ranks))
+    share = len(np.intersect1d(own, his, assume_unique=True)) / max(len(own), len(his))
+    return min(share, min(sizes) / max(sizes))
+
+
+def in_place(one: str, two: str) -> float:
     """Share of the longer text in spans that are equal at equal positions, as far as the grid tells."""
-    if one == two:
-        return 1.0
     (n, step, own), (m, other_step, his) = parsed(one), parsed(two)
     if not n or not m:
         return 0.0

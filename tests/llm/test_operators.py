@@ -1,5 +1,6 @@
 """The ten operators against plain computations, and on odd tables."""
 
+import random
 import re
 import zlib
 
@@ -371,6 +372,28 @@ def test_fingerprints_odd(spark, odd, empty):
     assert single.near_next == 1.0
 
 
+def test_fingerprints_of_shifted_and_scattered_copies():
+    def prose(seed, count):
+        pick = random.Random(seed)
+        return " ".join("".join(pick.choices("abcdefghij", k=pick.randint(2, 9))) for _ in range(count))
+
+    def like(one, two):
+        return fingerprints.likeness(*(fingerprints.Prefixes(t).fingerprint() for t in (one, two)))
+
+    for count in (100, 2000, 20_000):
+        text = prose(count, count)
+        assert like(text, "inserted " + text) > 0.9 and like("inserted " + text, text) > 0.9
+        assert like(text, text[1:]) > 0.9
+        assert like(text, prose(count + 1, count)) < 0.05
+        assert 0.2 < like(text, prose(7, 3 * count) + text) < 0.3 if count > 2000 else True
+    chars = list(text)
+    for i in range(20, len(chars), len(chars) // 40):
+        chars[i] = "X"
+    assert like(text, "".join(chars)) > 0.9
+    assert like("word " * 40_000, "x" + "word " * 40_000) > 0.1
+    assert like("short", "short text") < 1 and like("a" * 300, "b" * 300) == 0
+
+
 def test_prefix_hashes_answer_spans():
     one, two = fingerprints.Prefixes("abcabcabd é漢"), fingerprints.Prefixes("xxabcabd é漢y")
     assert one.same(3, two, 2, 9) and not one.same(0, two, 2, 6)
