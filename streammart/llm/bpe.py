@@ -1,8 +1,8 @@
 """Byte-level BPE (operator 1): encoding and decoding over Arrow batches with the tokenizers library.
 
 A rank file gives the vocabulary and the merges. Text is cut by the pattern, the UTF-8 bytes of each piece
-are mapped to printable characters, and the library's BPE model merges them. Each distinct piece is sent to
-the library once per worker as long as a cache of fixed size has room.
+are mapped to printable characters, and the library's BPE model merges them. Pieces that are tokens are looked up; of
+the others a worker keeps those it saw lately, in a cache bounded by pieces and by characters.
 
 Cases: a null text encodes as an empty one; an empty text has no ids; texts of any length are read whole;
 ids that are null or outside the vocabulary raise an error in ``decode``; a null id list decodes as empty.
@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import base64
 import functools
+import os
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 from tokenizers import Tokenizer, models
 
-CACHE_PIECES = 200_000
+# A worker keeps two generations of pieces, each of at most so many pieces and characters; longer ones are not kept.
+CACHE_PIECES, CACHE_CHARS, LONG_PIECE = 200_000, 4_000_000, 200
 
 
 def byte_table() -> list[str]:
@@ -38,9 +40,9 @@ class Codec:
     """The vocabulary of one rank file, with the library's BPE model over mapped bytes."""
 
     def __init__(self, ranks_path: str, pattern: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines if line.strip())}
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         to_char = byte_table()
         self.mapping = dict(enumerate(to_char))
@@ -54,24 +56,58 @@ class Codec:
         ]
         vocab = {self._mapped(token): rank for token, rank in ranks.items()}
         self.model = Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True, cache_capacity=0))
-        self.cache: dict[str, list[int]] = {}
+        # Decoding turns the characters of a token back into bytes; each token's bytes are worked out once.
+        byte_of = {c: b for b, c in enumerate(to_char)}
+        self.tokens = {rank: bytes(byte_of[c] for c in text) for text, rank in vocab.items()}
+        self.whole = {}
+        for token, rank in ranks.items():
+            try:
+                self.whole[token.decode()] = [rank]
+            except UnicodeDecodeError:
+                continue  # part of a character: never a piece
+        self.cache, self.older, self.chars = dict(self.whole), {}, 0
 
     def _mapped(self, data: bytes) -> str:
         return data.decode("latin-1").translate(self.mapping)
 
-    def learn(self, pieces: set[str]) -> dict[str, list[int]]:
-        """A map with the ids of these pieces at least; new ones go through the library."""
-        new = [p for p in pieces if p not in self.cache]
-        if len(self.cache) + len(new) > CACHE_PIECES:
-            self.cache = {p: self.cache[p] for p in pieces if p in self.cache}
-        coded = self.model.encode_batch_fast([self._mapped(p.encode()) for p in new], add_special_tokens=False)
-        self.cache.update(zip(new, (c.ids for c in coded)))
-        return self.cache
+    def merged(self, pieces: list[str]) -> list[list[int]]:
+        """The library's ids of each piece, all pieces sent as one sequence of words."""
+        coded = self.model.encode([self._mapped(p.encode()) for p in pieces], is_pretokenized=True, add_special_tokens=False)
+        counts = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(pieces)).tolist()
+        ids = iter(coded.ids)
+        return [list(islice(ids, n)) for n in counts]
+
+    def learn(self, pieces: set[str]) -> None:
+        """Put these pieces into the cache; those that neither generation has go through the library."""
+        missing = [p for p in pieces if p not in self.cache]
+        if not missing:
+            return
+        size = sum(map(len, missing))
+        if len(self.cache) - len(self.whole) + len(missing) > CACHE_PIECES or self.chars + size > CACHE_CHARS:
+            self.older, self.cache, self.chars = self.cache, dict(self.whole), 0
+            missing = [p for p in pieces if p not in self.cache]
+            size = sum(map(len, missing))
+        self.chars += size
+        new = []
+        for p in missing:
+            ids = self.older.get(p)
+            if ids is None:
+                new.append(p)
+            else:
+                self.cache[p] = ids
+        if new:
+            self.cache.update(zip(new, self.merged(new)))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.pattern.findall(t) for t in texts]  # the pattern has no groups
-        known = self.learn(set(chain.from_iterable(split)))
-        return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
+        distinct = set(chain.from_iterable(split))
+        self.learn(distinct)
+        known = self.cache
+        out = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
+        for p in distinct:
+            if len(p) > LONG_PIECE:
+                known.pop(p, None)
+        return out
 
     def offsets(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Code points [start, end) that each token touches; a token with part of a character touches it."""
