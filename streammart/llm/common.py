@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from streammart.session import scratch_path
 
@@ -29,6 +30,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(names: Iterable[str], wish: str) -> str:
+    """``wish``, made longer until no column has that name in any case."""
+    taken = {n.lower() for n in names}
+    while wish.lower() in taken:
+        wish = f"_{wish}"
+    return wish
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -52,6 +61,19 @@ def bounded_sample(df: DataFrame, most: int, *keys: str) -> DataFrame:
     return thinned.orderBy("_pick", *keys).limit(most).drop("_pick")
 
 
+def in_one_task(rows: DataFrame, work: Callable[[pa.Table], dict[str, list]], schema: str) -> list[Row]:
+    """``work`` on all of a bounded table in one task; its few rows, given as columns, go to the driver."""
+    kinds = rows.sparkSession.createDataFrame([], schema).schema
+    arrow = to_arrow_schema(kinds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            yield from pa.table(work(pa.Table.from_batches(held)), arrow).to_batches()
+
+    return rows.coalesce(1).mapInArrow(run, kinds).collect()
+
+
 def ngram_slots(text: str, low: int, high: int, bits: int) -> np.ndarray:
     """Hash slots of all character n-grams of ``low`` to ``high`` code points, repeats included."""
     chars = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)

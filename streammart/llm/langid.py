@@ -6,7 +6,8 @@ most ``SAMPLE_ROWS`` training documents, spread evenly over the languages; a tem
 the sample that the weights have not seen calibrates the probabilities.
 
 Cases: null texts and texts without a letter get ``und`` with score 0; so does every text if nothing could be
-learned; null languages are not learned from; a null doc_id is neither held out nor learned from; repeated rows
+learned; null languages are not learned from; texts of any length are read whole; rows that repeat an id are sampled by id
+and text; other columns are not read; a null doc_id is neither held out nor learned from; repeated rows
 each get their row; an empty table gives an empty result.
 """
 
@@ -16,10 +17,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from streammart.llm.common import fold_of, ngram_slots, slices, stored, unit_hash
 
@@ -144,7 +145,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         return Model([], np.zeros(width), np.zeros((width + 1, 0)), 1.0)
     share = 1.2 * (sample_rows + 50) / len(languages)
     rates = F.create_map(*(F.lit(x) for lang in languages for x in (lang, share / sizes[lang])))
-    pick = unit_hash(F.col("doc_id"), F.lit("language"))
+    pick = unit_hash(F.col("doc_id"), F.col("text"), F.lit("language"))
     parts = stored(gathered(rows.select("text", "lang", pick.alias("pick"), rates[F.col("lang")].alias("rate"))), "langid")
     # At most one row a slot: a table of fixed size.
     frequency = parts.filter("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
@@ -172,15 +173,17 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score. The broadcast model has a fixed size for each language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select("doc_id", "text")
+    schema = StructType([rows.schema["doc_id"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        found = [shared.value.predict(t if isinstance(t, str) else None) for t in texts]
-        return pd.DataFrame(found, columns=["lang_pred", "score"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shared.value.predict(t) for t in batch.column("text").to_pylist()]
+            values = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *values], schema.names)
 
     held_out = F.coalesce(fold_of(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    out = docs.select("doc_id", held_out.alias("held_out"), predict("text").alias("p"))
-    return out.select("doc_id", "held_out", "p.lang_pred", "p.score")
+    return rows.mapInArrow(run, schema).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def predictions(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streammart.llm.common import SPACES, partitions_of
+from streammart.llm.common import SPACES, free_name, partitions_of
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -102,13 +102,14 @@ def repeated(docs: DataFrame, taken: DataFrame, row: str = "row_id") -> DataFram
     ``taken`` has that column, size and taken. Documents without words are not part of a mix of words.
     """
     names = [c for c in docs.columns if c != row]
-    chosen = taken.filter("taken > 0").select(row, F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    size, count, copy = (free_name(docs.columns, c) for c in ("size", "taken", "copy"))
+    chosen = taken.filter("taken > 0").select(row, F.col("size").alias(size), F.col("taken").alias(count))
     rows = docs.join(chosen, row)
-    copies = F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))
-    rows = rows.withColumn("_copy", F.explode(copies))
-    words = F.least("_size", F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
+    copies = F.sequence(F.lit(1), F.ceil(F.col(count) / F.col(size)).cast("int"))
+    rows = rows.withColumn(copy, F.explode(copies))
+    words = F.least(size, F.col(count) - (F.col(copy) - 1) * F.col(size)).cast("int")
     lead = F.concat_ws("", F.slice(F.regexp_extract_all("text", F.lit(f"[{SPACES}]*[^{SPACES}]+"), 0), 1, words))
-    cut = words < F.col("_size")
+    cut = words < F.col(size)
     rows = rows.withColumn("text", F.when(cut, lead).otherwise(F.col("text")))
     if "n_chars" in names:
         rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -6,7 +6,9 @@ is fitted on a sample of at most ``SAMPLE_ROWS`` labelled rows, its features sca
 
 Cases: null text scores as an empty one; an empty text scores the fitted bias; a null doc_id is neither held out
 nor learned from; label rows with a null are dropped, and of several labels of one document the toxic one holds;
-repeated rows each get their row; with no labelled rows every score is 0; an empty table gives an empty result.
+repeated rows each get their row, and rows that repeat an id are sampled by id and text; texts of any length are
+read whole; with no labelled rows every score is 0; an empty table gives an empty result; other columns may have any
+names.
 """
 
 from __future__ import annotations
@@ -17,15 +19,18 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from streammart.llm.common import fold_of, ngram_slots, slices, stored, unit_hash
+from streammart.llm.common import fold_of, free_name, in_one_task, ngram_slots, slices, stored, unit_hash
 
 LOW, HIGH, BITS = 1, 4, 18
 SAMPLE_ROWS = 5000
 FOLDS, HELD_OUT = 5, 0
 PASSES, STEP, RIDGE = 4, 0.1, 1e-6
+NOTHING = -30.0  # the bias of a model that had nothing to learn from
 
 
 def present(text: str | None) -> np.ndarray:
@@ -90,23 +95,32 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .agg(F.max("toxic").alias("toxic"))
     )
     texts = docs.select("doc_id", "text").filter(fold_of(F.col("doc_id"), FOLDS) != HELD_OUT)
-    rows = texts.join(known, "doc_id").withColumn("pick", unit_hash(F.col("doc_id"), F.lit("toxicity")))
+    # One plan at every size: the texts are shuffled once, however few or many the labels are.
+    rows = texts.join(known.hint("merge"), "doc_id").withColumn("pick", unit_hash(F.col("doc_id"), F.col("text"), F.lit("toxicity")))
     rate = 1.2 * (sample_rows + 50) / max(1, known.count())
     parts = stored(gathered(rows.select("text", "toxic", "pick"), rate), "toxicity")
-    # At most one row a slot: a table of fixed size.
+    # At most one row a slot and one a sampled text: a table of fixed size.
     counts = parts.filter("slot is not null").groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    counts = counts.toArrow().to_pandas()
     sample = parts.filter("pick is not null").select("pick", "label", "slots").orderBy("pick", "slots").limit(sample_rows)
-    sample = sample.toArrow()
-    slots = [np.frombuffer(s.as_buffer(), np.int32) for s in sample.column("slots")]
-    return fit(counts, list(zip(slots, sample.column("label").to_pylist())))
+
+    def work(held: pa.Table) -> dict[str, list]:
+        own = held.filter(pc.is_valid(held.column("slot"))).select(["slot", "clean", "toxic"]).to_pandas()
+        rows = held.filter(pc.is_valid(held.column("pick"))).select(["pick", "label", "slots"])
+        taken = sorted(zip(*(rows.column(c).to_pylist() for c in ("pick", "slots", "label"))))
+        model = fit(own, [(np.frombuffer(slots, np.int32), label) for _, slots, label in taken])
+        return {"weights": [model.weights.tobytes()], "bias": [model.bias]}
+
+    found = in_one_task(counts.unionByName(sample, allowMissingColumns=True), work, "weights binary, bias double")
+    if not found:
+        return Model(np.zeros(1 << BITS), NOTHING)
+    return Model(np.frombuffer(bytes(found[0]["weights"])), found[0]["bias"])
 
 
 def fit(counts: pd.DataFrame, sample: list[tuple[np.ndarray, int]]) -> Model:
     width = 1 << BITS
     totals = counts[counts["slot"] < 0]
     if not len(totals) or not sample:
-        return Model(np.zeros(width), -30.0)
+        return Model(np.zeros(width), NOTHING)
     own = counts[counts["slot"] >= 0]
     seen = np.ones((2, width))
     seen[0, own["slot"]] += own["clean"]
@@ -129,24 +143,26 @@ def fit(counts: pd.DataFrame, sample: list[tuple[np.ndarray, int]]) -> Model:
     return Model(weights * ratio, bias)
 
 
-def scorer(spark: SparkSession, model: Model):
-    """A column function from text to score. The broadcast model has a fixed size of 2 MB."""
-    shared = spark.sparkContext.broadcast((model.weights, model.bias))
+def with_scores(docs: DataFrame, model: Model, text_col: str, score: str) -> DataFrame:
+    """The rows with the score of their text. The broadcast model has a fixed size of 2 MB."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    names = docs.columns
+    schema = StructType([*docs.schema, StructField(score, DoubleType())])
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = Model(*shared.value)
-        return pd.Series(here.scores([t if isinstance(t, str) else None for t in texts]))
+        for batch in slices(batches):
+            scores = here.scores(batch.column(text_col).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, score])
 
-    return score
+    return docs.mapInArrow(run, schema)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted."""
-    score: Column = scorer(docs.sparkSession, model)(F.col("text"))
+    out = with_scores(docs.select("doc_id", "text"), model, "text", "score")
     held_out = F.coalesce(fold_of(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    out = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def predictions(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -155,4 +171,5 @@ def predictions(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Data
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     """The rows, with all their columns, whose score is below ``limit``."""
-    return docs.filter(scorer(docs.sparkSession, model)(F.col("text")) < limit)
+    score = free_name(docs.columns, "score")
+    return with_scores(docs, model, "text", score).filter(F.col(score) < limit).select(docs.columns)

@@ -49,8 +49,8 @@ def shingle_set(text: str) -> frozenset:
     return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
 
 
-def near_components(texts: dict) -> dict:
-    """id -> smallest id reachable over pairs of at least 85 %, by comparing all pairs that share a shingle."""
+def near_components(texts: dict, percent: int = 85) -> dict:
+    """id -> smallest id reachable over pairs of at least ``percent``, by comparing all pairs that share a shingle."""
     sets = {i: shingle_set(t) for i, t in texts.items()}
     holders = collections.defaultdict(list)
     for i, s in sets.items():
@@ -68,7 +68,7 @@ def near_components(texts: dict) -> dict:
             for j in ids:
                 if i < j and root(i) != root(j):
                     shared = len(sets[i] & sets[j])
-                    if 100 * shared >= 85 * len(sets[i] | sets[j]):
+                    if 100 * shared >= percent * len(sets[i] | sets[j]):
                         a, b = sorted((root(i), root(j)))
                         parent[b] = a
     return {i: root(i) for i in sets}
