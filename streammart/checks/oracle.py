@@ -55,6 +55,23 @@ RAW = """, raw as (
 
 add("src_topic", RAW + " select value from raw", "ev")
 add("src_json_table", RAW + " select event_id, event_type as type, k from raw where not cut and not empty", "ev")
+add("src_json_table_bad", RAW + """ select case when not cut and not empty then event_id end as event_id,
+      case when not cut and not empty then event_type end as type, case when not cut and not empty then k end as k,
+      case when cut or empty then value end as bad from raw""", "ev")
+BROKEN = ", broken as (select *, event_type in ('error', 'view') and value < 5 as bad, substr('{\"database\":\"' || db || '\",\"table\":', 1, 20) as head from ch)"
+add(
+    "src_changelog_bad",
+    BROKEN + """ select case when not bad then tab end as "table", case when not bad then type end as type, case when not bad then ts end as ts,
+      case when bad then head end as bad from broken""",
+    "changes",
+)
+add(
+    "stream_changelog_bad",
+    BROKEN + """ select case when tab = 'user_info' then 'dwd_user_register' else 'dwd_interaction_favor_add' end as sink_table, id, null as bad
+      from broken where not bad and db = 'shop' and ((tab = 'user_info' and type = 'insert') or (tab = 'cart_info' and type = 'update'))
+    union all select null, null, head from broken where bad""",
+    "changes",
+)
 add(
     "src_changelog",
     f"""select db as "database", tab as "table", type, ts, {stamp('epoch_ms(ts * 1000)')} as et,
@@ -83,6 +100,9 @@ add(
 add("src_config_snapshot", f"select here as source_table, sink_table, sink_columns from ({ROUTES}) where op <> 'd'")
 add("src_dim", "select cast(c_custkey as varchar) as id, c_name, c_nationkey as n from customer")
 
+ORACLE["stream_config_changes"] = f"""select op, ts_ms, case op when 'u' then other when 'd' then here end as before_table,
+      case when op <> 'd' then here end as after_table, case when op <> 'd' then sink_table end as sink_table from ({ROUTES}) where ts_ms > 70
+    union all select 'r', 70, null, 'table_' || n_nationkey, 'snap_' || n_name from nation"""
 add(
     "sink_append",
     """select '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}' as value from ev""",
@@ -350,6 +370,13 @@ add(
     select id, sku_id, v2, v3, cast(-price as double), cast(-coupon as double) from ranked where back > 1""",
     "versions",
 )
+NULLED = ", nulled as (select * replace (case when v1 % 3 <> 0 then v1 end as v1) from ov), placed as (select *, row_number() over (partition by id order by et desc, v1 desc nulls last, v2 desc, v3 desc) as place from nulled)"
+add(
+    "state_retract_nulls",
+    NULLED + """ select id, sku_id, v2, v3, cast(price as double) as split_total_amount, cast(coupon as double) as split_coupon_amount from placed
+    union all select id, sku_id, v2, v3, cast(-price as double), cast(-coupon as double) from placed where place > 1""",
+    "versions",
+)
 add(
     "state_latest_per_key",
     f"select id, sku_id, cast(price as double) as split_total_amount, {stamp('et')} as et from ranked where back = 1",
@@ -467,23 +494,11 @@ add(
 )
 
 
-def closed(name: str, view: str, rows: str, batch: str) -> None:
-    """A streamed summary: the batch answer without windows that end after the newest of ``rows``."""
-    ORACLE[name] = f"""
-    select * from ({ORACLE[batch]}) as all_windows
-    where edt <= (with {SQL[view]} select {stamp('max(et)')} from {rows})"""
-
-
-closed("stream_traffic_by_dims", "pages", "pages", "win_traffic_by_dims")
-closed("stream_home_detail_uv", "pages", "pages where page_id in ('home', 'good_detail')", "win_home_detail_uv")
-closed("stream_login_back", "pages", "pages where uid <> '' and coalesce(last_page_id, 'login') = 'login'", "win_login_back")
-closed("stream_payment_users", "ev", "ev where event_type = 'purchase'", "win_payment_users")
-closed("stream_province_orders", "versions", "ov", "win_province_orders")
-ORACLE["stream_keyword_count"] = f"""select * from ({ORACLE['win_keyword_count']}) as all_windows
-    where edt <= (select {stamp(f'epoch_ms(({T0} + max(doc_id)) * 1000)')} from documents)"""
-ORACLE["stream_late_drop"] = f"""with {SQL['ev']}
-    select * from ({windowed("(select et from ev where not (event_type = 'error' and day(et) <= 10))", HOUR, "", "count(*) as n")}) as all_windows
-    where edt <= (select {stamp('max(et)')} from ev)"""
+for streamed in ("traffic_by_dims", "home_detail_uv", "login_back", "payment_users", "province_orders", "keyword_count"):
+    ORACLE[f"stream_{streamed}"] = ORACLE[f"win_{streamed}"]
+ORACLE["stream_late_drop"] = f"with {SQL['ev']}" + windowed(
+    "(select et from ev where not (event_type = 'error' and day(et) <= 10))", HOUR, "", "count(*) as n"
+)
 ORACLE["stream_fix_new_flag"] = ORACLE["state_fix_new_flag"]
 ORACLE["stream_retract_offsets"] = ORACLE["state_retract_offsets"]
 # The streamed join names a bound of five seconds of event time.

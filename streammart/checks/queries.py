@@ -89,6 +89,54 @@ def src_json_table(spark, sf_dir):
     return raw.transform(topics.parse_json("event_id bigint, type string, k int"))
 
 
+@query
+def src_json_table_bad(spark, sf_dir):
+    """Both outputs of a reader that diverts: the typed records, and the texts that could not be read."""
+    raw = topics.read_topic(spark, **written(spark, raw_topic(spark, sf_dir), "raw"))
+    good, bad = topics.diverted(raw.transform(topics.parse_json("event_id bigint, type string, k int", keep_bad=True)))
+    nothing = {"event_id": F.lit(None).cast("bigint"), "type": F.lit(None).cast("string"), "k": F.lit(None).cast("int")}
+    return good.withColumn("bad", F.lit(None).cast("string")).unionByName(bad.select(*[c.alias(n) for n, c in nothing.items()], F.col("value").alias("bad")))
+
+
+def broken_changelog(spark, sf_dir):
+    """The change log as messages: some of them cut off, in some the time is a word."""
+    rows = v.changelog(spark, sf_dir)
+    events = v.events(spark, sf_dir).select("event_id", "event_type", "value")
+    message = rows.select("event_id", F.to_json(F.struct("database", "table", "type", "ts", "data", "old")).alias("whole")).join(events, "event_id")
+    cut = (F.col("event_type") == "error") & (F.col("value") < 5)
+    word = (F.col("event_type") == "view") & (F.col("value") < 5)
+    worded = F.regexp_replace("whole", '"ts":[0-9]+', '"ts":"soon"')
+    return message.select(F.when(cut, F.substring("whole", 1, 20)).when(word, worded).otherwise(F.col("whole")).alias("value"))
+
+
+@query
+def src_changelog_bad(spark, sf_dir):
+    back = topics.read_changelog(spark, keep_bad=True, **written(spark, broken_changelog(spark, sf_dir), schemas.TOPIC_CHANGELOG))
+    good, bad = topics.diverted(back)
+    kept = good.select("table", "type", "ts", F.lit(None).cast("string").alias("bad"))
+    lost = bad.select(*[F.lit(None).cast(t).alias(c) for c, t in good.select("table", "type", "ts").dtypes], F.substring("value", 1, 20).alias("bad"))
+    return kept.unionByName(lost)
+
+
+@query
+def stream_changelog_bad(spark, sf_dir):
+    """A running job reads what it can and writes the rest to the error topic: nothing is lost."""
+    from streammart.plans import jobs
+
+    source = written(spark, broken_changelog(spark, sf_dir), schemas.TOPIC_CHANGELOG)
+    changes = topics.read_changelog(spark, delay=None, keep_bad=True, streaming=True, **source)
+    out, errors = scratch_path(spark, "facts"), scratch_path(spark, "errors")
+    job = jobs.start_routed_fact_job(
+        changes, lambda: v.fact_routes(spark), out, f"{out}-checkpoint", v.DATABASE, {"availableNow": True}, errors
+    )
+    job.awaitTermination()
+    bad = topics.read_topic(spark, jobs.error_topic(schemas.TOPIC_CHANGELOG), root=errors)
+    facts_out = spark.read.text(out).select(F.col("sink_table").cast("string"), F.from_json("value", "id string").getField("id").alias("id"))
+    return facts_out.withColumn("bad", F.lit(None).cast("string")).unionByName(
+        bad.select(*[F.lit(None).cast("string").alias(c) for c in ("sink_table", "id")], F.substring("value", 1, 20).alias("bad"))
+    )
+
+
 @query
 def src_changelog(spark, sf_dir):
     rows = v.changelog(spark, sf_dir).drop("et", "event_id")
@@ -122,6 +170,30 @@ def src_config_changes(spark, sf_dir):
     return back.select("op", "ts_ms", F.col("before.source_table").alias("before_table"), F.col("after.source_table").alias("after_table"), F.col("after.sink_columns").alias("sink_columns"))
 
 
+def route_snapshot(spark, sf_dir):
+    """A routing table of the time before the first half of the changes was made."""
+    n = v.table(spark, sf_dir, "nation")
+    return n.select(
+        F.concat(F.lit("table_"), "n_nationkey").alias("source_table"),
+        F.concat(F.lit("snap_"), "n_name").alias("sink_table"),
+        F.lit("info").alias("sink_family"),
+        F.lit("id").alias("sink_columns"),
+        F.lit("id").alias("sink_row_key"),
+    )
+
+
+@query
+def stream_config_changes(spark, sf_dir):
+    """A snapshot and the changes made after it, as one stream."""
+    source = written(spark, sinks.to_json_rows(v.config_changes(spark, sf_dir)), "routes")
+    stream = topics.read_config_changes(
+        spark, route_snapshot(spark, sf_dir), as_of=70, handover=scratch_path(spark, "handover"), streaming=True, **source
+    )
+    return drained(spark, "stream-config", undated(stream)).select(
+        "op", "ts_ms", F.col("before.source_table").alias("before_table"), F.col("after.source_table").alias("after_table"), F.col("after.sink_table").alias("sink_table")
+    )
+
+
 @query
 def src_config_snapshot(spark, sf_dir):
     from streammart.sources.tables import read_config_snapshot
@@ -521,6 +593,14 @@ def state_retract_duplicates(spark, sf_dir):
     return plain(out.select("id", "sku_id", "v2", "v3", "split_total_amount", "split_coupon_amount"))
 
 
+@query
+def state_retract_nulls(spark, sf_dir):
+    """Versions whose second order column is NULL for a part of them: a NULL ranks lowest, and nothing is lost."""
+    rows = v.order_versions(spark, sf_dir).withColumn("v1", F.when(F.col("v1") % 3 != 0, F.col("v1")))
+    out = state.offset_versions(rows, ["id"], list(v.VERSION_ORDER), ["split_total_amount", "split_coupon_amount"])
+    return plain(out.select("id", "sku_id", "v2", "v3", "split_total_amount", "split_coupon_amount"))
+
+
 @query
 def state_latest_per_key(spark, sf_dir):
     rows = v.order_versions(spark, sf_dir).select("id", "sku_id", "split_total_amount", *v.VERSION_ORDER)
@@ -651,8 +731,8 @@ def serve_channel_series(spark, sf_dir):
 
 
 # --- streams -------------------------------------------------------------------------------------
-# The same builders over the tables read as streams. A window that the watermark has not passed when
-# the input ends is still open, so it is in neither the result nor its SQL.
+# The same builders over the tables read as streams that end: marker rows far in the future close all windows, and what
+# comes of them is left out, so that the results are those of a batch.
 
 
 def drain(spark: SparkSession, stream: DataFrame, out: str) -> None:
@@ -681,40 +761,40 @@ def undated(stream: DataFrame) -> DataFrame:
 
 @query
 def stream_traffic_by_dims(spark, sf_dir):
-    rows = summaries.traffic_by_dims(v.pages(spark, v.Live(sf_dir)), width="1 hour")
-    return drained(spark, "stream-traffic", rows)
+    rows = summaries.traffic_by_dims(v.pages(spark, v.Closed(sf_dir)), width="1 hour")
+    return v.ended(drained(spark, "stream-traffic", rows))
 
 
 @query
 def stream_home_detail_uv(spark, sf_dir):
-    rows = summaries.home_detail_uv(v.pages(spark, v.Live(sf_dir)), width="1 hour")
-    return drained(spark, "stream-home", rows)
+    rows = summaries.home_detail_uv(v.pages(spark, v.Closed(sf_dir)), width="1 hour")
+    return v.ended(drained(spark, "stream-home", rows))
 
 
 @query
 def stream_login_back(spark, sf_dir):
-    rows = summaries.login_users(v.pages(spark, v.Live(sf_dir)), width="1 day")
-    return drained(spark, "stream-login", rows)
+    rows = summaries.login_users(v.pages(spark, v.Closed(sf_dir)), width="1 day")
+    return v.ended(drained(spark, "stream-login", rows))
 
 
 @query
 def stream_payment_users(spark, sf_dir):
-    rows = summaries.payment_users(user_events(spark, v.Live(sf_dir), "purchase"), width="1 hour")
-    return drained(spark, "stream-payment", rows)
+    rows = summaries.payment_users(user_events(spark, v.Closed(sf_dir), "purchase"), width="1 hour")
+    return v.ended(drained(spark, "stream-payment", rows))
 
 
 @query
 def stream_keyword_count(spark, sf_dir):
-    return drained(spark, "stream-keyword", summaries.keyword_counts(v.searches(spark, v.Live(sf_dir))))
+    return v.ended(drained(spark, "stream-keyword", summaries.keyword_counts(v.searches(spark, v.Closed(sf_dir)))))
 
 
 @query
 def stream_province_orders(spark, sf_dir):
     totals = summaries.province_totals(
-        v.order_versions(spark, v.Live(sf_dir)), width="1 hour", order=v.VERSION_ORDER
+        v.order_versions(spark, v.Closed(sf_dir)), width="1 hour", order=v.VERSION_ORDER
     )
     names = v.provinces(spark, sf_dir)
-    return plain(summaries.province_names(drained(spark, "stream-province", totals), names))
+    return plain(summaries.province_names(v.ended(drained(spark, "stream-province", totals)), names))
 
 
 @query
@@ -727,12 +807,13 @@ def stream_late_drop(spark, sf_dir):
     late = (F.col("event_type") == "error") & (day <= 10)
     root = scratch_path(spark, "late")
     out = scratch_path(spark, "late-out")
-    for part in (e.filter(~late & (day <= 20)), e.filter(late | (day > 20))):
+    last = v.table(spark, sf_dir, "events").limit(1).select("event_id", "event_type", F.lit("2040-01-01 00:00:00").cast("timestamp").alias("et"))
+    for part in (e.filter(~late & (day <= 20)), e.filter(late | (day > 20)), last):
         part.write.mode("append").parquet(root)
         arrivals = spark.readStream.schema(e.schema).parquet(root)
         counted = tumble_agg(arrivals, [], [F.count(F.lit(1)).alias("n")], width="1 hour")
         drain(spark, counted, out)
-    return sinks.read_summary(spark, out)
+    return v.ended(sinks.read_summary(spark, out))
 
 
 @query

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streammart.functions import event_time, stamp_of
-from streammart.session import configure
+from streammart.session import configure, scratch_path
 
 DATABASE = "shop"
 T0 = 1704067200  # 2024-01-01 00:00:00 UTC, the first second of the order views
@@ -22,8 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if not isinstance(sf_dir, Live):
         return configure(spark).read.parquet(path)
     # As a pattern the path may be one file or a folder of files.
-    schema = configure(spark).read.parquet(path).schema
-    return spark.readStream.schema(schema).options(**sf_dir.options).parquet(f"{path[:-1]}[{path[-1]}]")
+    rows = configure(spark).read.parquet(path)
+    stream = spark.readStream.schema(rows.schema).options(**sf_dir.options).parquet(f"{path[:-1]}[{path[-1]}]")
+    if not isinstance(sf_dir, Closed) or name not in CLOSING:
+        return stream
+    folder = scratch_path(spark, f"closing-{name}")
+    CLOSING[name](rows).write.parquet(folder)
+    return stream.unionByName(spark.readStream.schema(rows.schema).parquet(folder))
 
 
 class Live(str):
@@ -32,6 +37,50 @@ class Live(str):
     options: dict[str, str] = {}
 
 
+class Closed(Live):
+    """Streams that end: each table is followed by marker rows decades later, which pass the filters of all views.
+
+    They move the watermark beyond every window. What comes of them is dated at ``END`` or later; see ``ended``.
+    """
+
+
+END = "2039-01-01"
+LAST_KEY = 10**8  # an order this many times ten seconds, or a document as many seconds, after the first
+
+
+def _last_events(e: DataFrame) -> DataFrame:
+    """One event of each type."""
+    far = F.lit("2040-01-01 00:00:00").cast(e.schema["ts"].dataType)
+    kinds = e.groupBy("event_type").agg(F.max("props").alias("props"))
+    return kinds.select(
+        F.lit(-1).cast("bigint").alias("event_id"), far.alias("ts"), F.lit(-1).cast("bigint").alias("user_id"), "event_type", F.lit(15.0).alias("value"), F.lit('{"k": 1}').alias("props")
+    ).select(e.columns)
+
+
+def _last_orders(o: DataFrame) -> DataFrame:
+    """One order of each status."""
+    one = o.groupBy("o_orderstatus").agg(F.max(F.struct(*[c for c in o.columns if c != "o_orderstatus"])).alias("o"))
+    return one.select("o_orderstatus", "o.*").withColumn("o_orderkey", F.lit(LAST_KEY).cast("bigint")).select(o.columns)
+
+
+def _last_lines(li: DataFrame) -> DataFrame:
+    """A line with every kind of change."""
+    one = li.limit(1).withColumns({"l_orderkey": F.lit(LAST_KEY).cast("bigint"), "l_returnflag": F.lit("R"), "l_linestatus": F.lit("F")})
+    return one.withColumn("l_discount", F.explode(F.array(F.lit(0.0), F.lit(0.1)))).select(li.columns)
+
+
+def _last_documents(d: DataFrame) -> DataFrame:
+    return d.limit(1).withColumns({"doc_id": F.lit(12 * LAST_KEY).cast("bigint"), "text": F.lit("end")}).select(d.columns)
+
+
+CLOSING = {"events": _last_events, "orders": _last_orders, "lineitem": _last_lines, "documents": _last_documents}
+
+
+def ended(rows: DataFrame, day: str = "cur_date") -> DataFrame:
+    """Without what came of the marker rows."""
+    return rows.filter(F.col(day) < END)
+
+
 def text(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 

@@ -45,8 +45,10 @@ def mark_extreme(
     condition = F.lit(True)
     for i, k in enumerate(named):
         condition = condition & k.eqNullSafe(F.col(f"_k{i}"))
+    # A row without a time (the first order column) is neither first nor latest; a NULL further on is a value, the least.
     for i, c in enumerate(order):
-        condition = condition & (df[c] == F.col(f"_o{i}"))
+        here = F.col(f"_o{i}")
+        condition = condition & (df[c].eqNullSafe(here) if i else df[c] == here)
     joined = df.join(edge, condition, "left")
     return joined.select(*df.columns, F.coalesce("_edge", F.lit(0)).alias(flag))
 
@@ -214,8 +216,8 @@ def offset_versions(
 
     Sums over the result equal sums over the latest versions, in every group a version ever fell
     into. A NULL measure counts as 0 when negated. ``order`` must tell the versions of a key apart: rows that
-    agree on keys and order are the same version delivered again, and count once. Rows without a time are left
-    out, as they fall into no window.
+    agree on keys and order are the same version delivered again, and count once; a NULL in ``order`` ranks lowest.
+    Rows without a time are left out, as they fall into no window.
     """
     if df.isStreaming:
         from streammart.streaming.keyed import stream_offset_versions

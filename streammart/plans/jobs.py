@@ -33,10 +33,41 @@ from streammart.sources.sinks import (
     write_topic_batch,
     write_upsert,
 )
+from streammart.sources.topics import diverted
 
 ReadConfig = Callable[[], DataFrame]
 
 
+def error_topic(topic: str) -> str:
+    """Where the unreadable records of a topic go."""
+    return f"{topic}_error"
+
+
+def keep_good(batch: DataFrame, topic: str, errors: str | None, batch_id: int) -> DataFrame:
+    """The readable records of a micro-batch; the others are written to the topic's error topic below ``errors``.
+
+    The micro-batch has ``_bad`` if its source was parsed with ``keep_bad``. A replay replaces what it wrote.
+    """
+    if "_bad" not in batch.columns:
+        return batch
+    good, bad = diverted(batch)
+    if errors is None:
+        raise ValueError(f"{topic} keeps its unreadable records: name a folder for their topic")
+    write_topic_batch(bad, error_topic(topic), errors, batch_id)
+    return good
+
+
+def start_error_job(
+    rows: DataFrame, topic: str, errors: str, checkpoint: str, trigger: Trigger | None = None
+) -> StreamingQuery:
+    """The unreadable records of a source (parsed with ``keep_bad``) to its error topic, beside jobs that read the others."""
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        keep_good(batch, topic, errors, batch_id)
+
+    return start_stream(rows.filter("_bad is not null").select("_bad"), checkpoint, save, trigger).start()
+
+
 def start_log_job(
     raw: DataFrame, root: str, checkpoint: str, trigger: Trigger | None = None
 ) -> StreamingQuery:
@@ -72,14 +103,16 @@ def start_dim_job(
     checkpoint: str,
     trigger: Trigger | None = None,
     buckets: int = 64,
+    errors: str | None = None,
 ) -> StreamingQuery:
     """Change log -> dimension tables below ``root``, routed by the configuration of the moment.
 
-    A route that disappears is no longer written to; its table stays. New columns start as NULL.
+    Unreadable records of a log read with ``keep_bad`` go to its error topic below ``errors``. A route that disappears is no longer written to; its table stays. New columns start as NULL.
     """
     spark = changes.sparkSession
 
     def save(batch: DataFrame, batch_id: int) -> None:
+        batch = keep_good(batch, schemas.TOPIC_CHANGELOG, errors, batch_id)
         # The routing table holds one row per dimension.
         config = read_config().collect()
         routes = spark.createDataFrame(config, schemas.DIM_ROUTE) if config else None
@@ -123,10 +156,12 @@ def start_routed_fact_job(
     checkpoint: str,
     database: str | None = None,
     trigger: Trigger | None = None,
+    errors: str | None = None,
 ) -> StreamingQuery:
-    """Change log -> one topic per configured (table, type)."""
+    """Change log -> one topic per configured (table, type), unreadable records as in :func:`start_dim_job`."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
+        batch = keep_good(batch, schemas.TOPIC_CHANGELOG, errors, batch_id)
         routed = route_facts(drop_bootstrap(batch), read_config(), database)
         rows = routed.select("sink_table", F.to_json("data").alias("value"))
         (

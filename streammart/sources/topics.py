@@ -7,12 +7,15 @@ runs.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streammart import schemas
 from streammart.functions import parsed_once
 from streammart.operators.windows import with_event_time
+from streammart.session import scratch_path
 
 
 def read_topic(
@@ -48,10 +51,34 @@ def read_topic(
     return reader.options(**(options or {})).text(path).select("value")
 
 
-def parse_json(schema: str):
-    """``df.transform(parse_json(ddl))``: typed columns; rows that are not JSON objects are dropped."""
+def tagged_json(raw: DataFrame, schema: str, source: str = "records") -> DataFrame:
+    """Typed columns and ``_bad``: the text of a record that does not fit the schema, otherwise NULL.
+
+    A record is bad when it is no JSON object (an empty text included) or a field has another type; its typed columns
+    are NULL. NULL values are tombstones, no records. How many records and bad ones went through is observed
+    under the name ``diverted <source>``: a stream's progress reports it for each micro-batch.
+    """
+    ok = F.col("_r").isNotNull() & F.col("_r._bad").isNull()
+    fields = T.StructType.fromDDL(schema).names
+    rows = raw.filter(F.col("value").isNotNull()).select("value", parsed_once("value", schema).alias("_r"))
+    rows = rows.select(*[F.when(ok, F.col(f"_r.{c}")).alias(c) for c in fields], F.when(~ok, F.col("value")).alias("_bad"))
+    return rows.observe(f"diverted {source}", F.count(F.lit(1)).alias("records"), F.count("_bad").alias("bad"))
+
+
+def diverted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, unreadable texts as ``value``) of rows that were parsed with ``keep_bad``."""
+    return rows.filter("_bad is null").drop("_bad"), rows.filter("_bad is not null").select(F.col("_bad").alias("value"))
+
+
+def parse_json(schema: str, keep_bad: bool = False, source: str = "records"):
+    """``df.transform(parse_json(ddl))``: typed columns; rows that are not such JSON objects are dropped.
+
+    With ``keep_bad`` they stay, as :func:`tagged_json` says, to be split off by :func:`diverted`.
+    """
 
     def run(df: DataFrame) -> DataFrame:
+        if keep_bad:
+            return tagged_json(df, schema, source)
         return (
             df.select(parsed_once("value", schema).alias("_r"))
             .filter("_r is not null and _r._bad is null")
@@ -62,70 +89,96 @@ def parse_json(schema: str):
     return run
 
 
-def parse_changelog(raw: DataFrame, delay: str | None = "3 seconds") -> DataFrame:
+def parse_changelog(raw: DataFrame, delay: str | None = "3 seconds", keep_bad: bool = False) -> DataFrame:
     """Change-log envelope plus ``et`` (its ``ts`` counts seconds)."""
-    rows = raw.transform(parse_json(schemas.CHANGELOG))
+    rows = raw.transform(parse_json(schemas.CHANGELOG, keep_bad, schemas.TOPIC_CHANGELOG))
     return with_event_time(rows, "ts", "s", delay)
 
 
-def parse_page_log(raw: DataFrame, delay: str | None = "0 seconds") -> DataFrame:
+def parse_page_log(raw: DataFrame, delay: str | None = "0 seconds", keep_bad: bool = False) -> DataFrame:
     """Page records plus ``et`` (their ``ts`` counts milliseconds)."""
-    rows = raw.transform(parse_json(schemas.PAGE_LOG))
+    rows = raw.transform(parse_json(schemas.PAGE_LOG, keep_bad, schemas.LOG_OUTPUTS["page"]))
     return with_event_time(rows, "ts", "ms", delay)
 
 
-def parse_fact(raw: DataFrame, name: str, delay: str | None = "3 seconds") -> DataFrame:
+def parse_fact(raw: DataFrame, name: str, delay: str | None = "3 seconds", keep_bad: bool = False) -> DataFrame:
     """A fact topic with ``et``; registrations carry their time as text."""
-    rows = raw.transform(parse_json(schemas.FACT_SCHEMAS[name]))
+    rows = raw.transform(parse_json(schemas.FACT_SCHEMAS[name], keep_bad, name))
     if "ts" in rows.columns:
         unit = "ms" if name.startswith("dwd_traffic") else "s"
         return with_event_time(rows, "ts", unit, delay)
     return rows
 
 
-def read_changelog(spark: SparkSession, delay: str | None = "3 seconds", **source) -> DataFrame:
+def read_changelog(spark: SparkSession, delay: str | None = "3 seconds", keep_bad: bool = False, **source) -> DataFrame:
     source.setdefault("topics", schemas.TOPIC_CHANGELOG)
-    return parse_changelog(read_topic(spark, **source), delay)
+    return parse_changelog(read_topic(spark, **source), delay, keep_bad)
 
 
-def read_page_log(spark: SparkSession, delay: str | None = "0 seconds", **source) -> DataFrame:
+def read_page_log(spark: SparkSession, delay: str | None = "0 seconds", keep_bad: bool = False, **source) -> DataFrame:
     source.setdefault("topics", schemas.LOG_OUTPUTS["page"])
-    return parse_page_log(read_topic(spark, **source), delay)
+    return parse_page_log(read_topic(spark, **source), delay, keep_bad)
 
 
 def read_fact(
-    spark: SparkSession, name: str, delay: str | None = "3 seconds", **source
+    spark: SparkSession, name: str, delay: str | None = "3 seconds", keep_bad: bool = False, **source
 ) -> DataFrame:
     source.setdefault("topics", name)
-    return parse_fact(read_topic(spark, **source), name, delay)
+    return parse_fact(read_topic(spark, **source), name, delay, keep_bad)
 
 
-def parse_config_changes(raw: DataFrame, route: str = schemas.DIM_ROUTE) -> DataFrame:
+def parse_config_changes(raw: DataFrame, route: str = schemas.DIM_ROUTE, keep_bad: bool = False) -> DataFrame:
     """Routing-table changes: ``op``, ``ts_ms``, ``before``, ``after``."""
-    return raw.transform(parse_json(schemas.config_change(route)))
+    return raw.transform(parse_json(schemas.config_change(route), keep_bad, "routes"))
 
 
 def read_config_changes(
     spark: SparkSession,
     snapshot: DataFrame | None = None,
     route: str = schemas.DIM_ROUTE,
+    as_of: int | None = None,
+    handover: str | None = None,
     **source,
 ) -> DataFrame:
-    """The full snapshot as ``r`` rows, followed by the changes read from a topic."""
+    """The full snapshot as ``r`` rows, followed by the changes read from a topic; a batch or one stream.
+
+    ``as_of`` is the ``ts_ms`` up to which the snapshot already holds the changes: its rows carry that time, and changes
+    up to it are left out. Without it the rows carry 0 and every change follows.
+
+    For a stream the snapshot is a source of files in the folder ``handover`` beside the topic. It is written there once,
+    by the first start; a restart finds it and goes on, so one folder belongs to one checkpoint. Without a name a
+    fresh scratch folder is taken, and a restart would send the snapshot of that moment again.
+    """
     changes = parse_config_changes(read_topic(spark, **source), route)
     if snapshot is None:
         return changes
+    if as_of is not None:
+        changes = changes.filter(F.col("ts_ms") > as_of)
     columns = changes.select("after.*").columns
     as_rows = snapshot.select(
         F.lit("r").alias("op"),
-        F.lit(0).cast("bigint").alias("ts_ms"),
+        F.lit(as_of or 0).cast("bigint").alias("ts_ms"),
         F.lit(None).cast(changes.schema["before"].dataType).alias("before"),
         F.struct(*columns).alias("after"),
     )
+    if changes.isStreaming:
+        folder = handover or scratch_path(spark, "handover")
+        if not written_before(spark, folder):
+            as_rows.write.mode("overwrite").parquet(folder)
+        as_rows = spark.readStream.schema(as_rows.schema).parquet(folder)
     return as_rows.unionByName(changes)
 
 
+def written_before(spark: SparkSession, folder: str) -> bool:
+    """Whether a write into the folder has been completed."""
+    try:
+        return not spark.read.format("binaryFile").load(f"{folder}/_SUCCESS").isEmpty()
+    except AnalysisException:
+        return False
+
+
 __all__ = [
+    "diverted",
     "parse_changelog",
     "parse_config_changes",
     "parse_fact",
@@ -136,4 +189,5 @@ __all__ = [
     "read_fact",
     "read_page_log",
     "read_topic",
+    "tagged_json",
 ]
