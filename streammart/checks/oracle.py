@@ -505,3 +505,27 @@ ORACLE["stream_retract_offsets"] = ORACLE["state_retract_offsets"]
 ORACLE["stream_refund"] = ORACLE["fact_refund"].replace("o_orderstatus = 'P'", "o_orderstatus = 'P' and abs(l_linenumber * 3 - 10) <= 5")
 ORACLE["state_retract_duplicates"] = ORACLE["state_retract_offsets"]
 ORACLE["sink_summary_two_batches"] = ORACLE["sink_summary"]
+add(
+    "src_upsert_topic",
+    """, newest as (select *, row_number() over (partition by user_id order by event_id desc) as place from ev)
+    select user_id, event_type, k, cast(1 as bigint) as n from newest where place = 1 and k < 90""",
+    "ev",
+)
+add(
+    "sink_upsert_topic",
+    """, newest as (select *, row_number() over (partition by user_id order by event_id desc) as place from ev)
+    select '+I' as op, user_id, event_type, k from newest where place = 1 and k < 90""",
+    "ev",
+)
+ORACLE["stream_order_detail"] = f"with one as ({ORACLE['fact_order_detail']}) select *, count(*) as n from one group by all"
+add(
+    "stream_chain_province",
+    # Lines that share an id are versions of one line, in the order of their texts.
+    ", lines as (select * from od qualify row_number() over (partition by id order by ts desc, sku_num desc, cast(cast(split_total_amount as decimal(16,2)) as varchar) desc) = 1)"
+    ", placed as (select *, epoch_ms(ts * 1000) as et, row_number() over (partition by order_id order by ts) as place from lines)"
+    ", parts as (select et, province_id, case when place = 1 then 1 else 0 end as n, split_total_amount as price from placed), summed as ("
+    + windowed("parts", HOUR, "province_id", "cast(sum(n) as bigint) as order_count, sum(cast(price as decimal(16,2))) as order_amount")
+    + """) select stt, edt, cur_date, province_id, n_name as province_name, order_count, cast(order_amount as double) as order_amount
+      from summed join nation on province_id = cast(n_nationkey as varchar)""",
+    "detail",
+)

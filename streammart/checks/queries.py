@@ -24,7 +24,7 @@ from streammart.operators import changelog as cl
 from streammart.operators import joins, logs, state
 from streammart.plans import facts, serving, summaries
 from streammart.session import configure, scratch_path
-from streammart.sources import sinks, topics
+from streammart.sources import sinks, topics, upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -214,6 +214,32 @@ def src_dim(spark, sf_dir):
     return read_dim(spark, root, "dim_customer").select("id", "c_name", "n")
 
 
+@query
+def src_upsert_topic(spark, sf_dir):
+    """Events as a topic keyed by user, with tombstones, written in three parts: what is left of it as a stream."""
+    e = v.events(spark, sf_dir).select("user_id", "event_id", "event_type", "k")
+    records = upserts.keyed_records(e, ["user_id"], "event_id", F.col("k") >= 90)
+    root = scratch_path(spark, "keyed")
+    for third in range(3):
+        upserts.write_keyed_topic(records.filter(F.col("seq") % 3 == third).coalesce(1), "users", root=root)
+    source = upserts.read_keyed_topic(spark, "users", root=root, streaming=True, options={"maxFilesPerTrigger": "1"})
+    rows = drained(spark, "stream-upsert", undated(upserts.normalised(source, "user_id bigint, event_type string, k int")))
+    net = rows.groupBy("user_id", "event_type", "k").agg(F.sum(upserts.sign()).cast("bigint").alias("n"))
+    return net.filter("n <> 0")
+
+
+@query
+def sink_upsert_topic(spark, sf_dir):
+    """An add-and-retract log back into a keyed topic: its newest records are the log's net rows."""
+    e = v.events(spark, sf_dir).select("user_id", "event_id", "event_type", "k")
+    gone = F.when(F.col("k") >= 90, upserts.DELETED).otherwise(upserts.AFTER)
+    again = e.withColumn("op", F.explode(F.array(gone, F.lit(upserts.BEFORE))))
+    root = scratch_path(spark, "keyed-out")
+    upserts.write_keyed_topic(upserts.retractions_as_records(again, ["user_id"], "event_id"), "users", root=root)
+    back = upserts.normalised(upserts.read_keyed_topic(spark, "users", root=root), "user_id bigint, event_type string, k int")
+    return back.select("op", "user_id", "event_type", "k")
+
+
 # --- sinks ---------------------------------------------------------------------------------------
 
 
@@ -839,6 +865,31 @@ def stream_refund(spark, sf_dir):
     return plain(drained(spark, "stream-refund", undated(rows)), "et", "cur_date")
 
 
+@query
+def stream_order_detail(spark, sf_dir):
+    """Order lines written early and corrected: what is left after all corrections."""
+    changes = v.trade_changes(spark, v.Live(sf_dir)).withWatermark("et", "3 seconds")
+    rows = drained(spark, "stream-detail", undated(facts.early_order_detail(changes, "60 seconds", v.DATABASE)))
+    rows = plain(rows, "et", "cur_date", "ver")
+    names = [c for c in rows.columns if c != "sign"]
+    return rows.groupBy(*names).agg(F.sum("sign").alias("n")).filter("n <> 0").select(*names, F.col("n").cast("bigint").alias("n"))
+
+
+@query
+def stream_chain_province(spark, sf_dir):
+    """Raw change messages -> early order lines -> append-only fact log -> orders per province: each job reads the last one's topic."""
+    raw = written(spark, sinks.to_json_rows(v.trade_changes(spark, sf_dir).drop("et")), schemas.TOPIC_CHANGELOG)
+    changes = topics.read_changelog(spark, streaming=True, **raw)
+    log, name = scratch_path(spark, "chain"), "dwd_trade_order_detail"
+    lines = sinks.to_json_rows(facts.order_detail_log(facts.early_order_detail(changes, "60 seconds", v.DATABASE)))
+    sinks.write_topic(lines, name, root=log, checkpoint=f"{log}-checkpoint", trigger={"availableNow": True}).awaitTermination()
+    marker = spark.createDataFrame([("end", "end", "0", 2200000000, 1)], "id string, order_id string, province_id string, ts bigint, ver bigint")
+    sinks.write_topic(sinks.to_json_rows(marker), f"{name}_end", root=log)
+    facts_in = topics.read_fact(spark, name, delay="0 seconds", topics=[name, f"{name}_end"], root=log, streaming=True)
+    totals = summaries.province_totals(facts_in, width="1 hour", order=("et", "ver"))
+    return plain(summaries.province_names(v.ended(drained(spark, "chain-province", totals)), v.provinces(spark, sf_dir)))
+
+
 # --- scalars -------------------------------------------------------------------------------------
 
 

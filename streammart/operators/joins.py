@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 On = list[tuple[str, str]] | tuple[str, str] | str
 
@@ -61,6 +62,35 @@ def fact_join(
     return joined.select(*left.columns, *[F.col(f"_r_{c}").alias(c) for c in extra])
 
 
+def early_left_join(
+    left: DataFrame, sides: list[DataFrame], key: str, bound: str, et: str = "et", delay: str = "3 seconds"
+) -> DataFrame:
+    """Left rows with the matches of several sides on one key, written at once and corrected later (J2).
+
+    Adds ``sign`` and ``ver``. A left row without a match is written with NULLs as soon as it comes (``sign`` 1); when
+    a match arrives within ``bound`` of event time, that row is taken back (``sign`` -1) and written again. Sums of
+    sign times measure over the result are those of a left join; ``ver`` counts the writes of a key, so its greatest is
+    the newest. On a batch this is the left join itself.
+    """
+    extra = [[c for c in side.columns if c not in left.columns] for side in sides]
+    if not left.isStreaming:
+        rows = left
+        for side in sides:
+            rows = fact_join(rows, side, key, "left", bound, et)
+        return rows.withColumns({"sign": F.lit(1), "ver": F.lit(1).cast("bigint")})
+    from streammart.streaming.keyed import TIMES, stream_early_left_join
+
+    out = stream_early_left_join([left, *sides], [key], bound, et, delay)
+    parts = [T.StructType([T.StructField(f.name, f.dataType) for f in side.schema]) for side in (left, *sides)]
+    made = out.select("sign", "ver", *[F.from_json(F.col("rows")[i], part, TIMES).alias(f"_s{i}") for i, part in enumerate(parts)])
+    return made.select(
+        *[F.col(f"_s0.{c}").alias(c) for c in left.columns],
+        *[F.col(f"_s{i + 1}.{c}").alias(c) for i, names in enumerate(extra) for c in names],
+        "sign",
+        "ver",
+    )
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,

@@ -25,7 +25,7 @@ from streammart.operators.changelog import (
     route_facts,
     transition,
 )
-from streammart.operators.joins import fact_join, interval_join, lookup
+from streammart.operators.joins import early_left_join, fact_join, interval_join, lookup
 
 # Status codes of the source system.
 ORDER_PLACED, ORDER_CANCELLED = "1001", "1003"
@@ -38,14 +38,8 @@ def _of(changes: DataFrame, table: str, database: str | None) -> DataFrame:
     return rows.filter(F.col("database") == database) if database else rows
 
 
-def fact_order_detail(
-    changes: DataFrame, bound: str | None = None, database: str | None = None
-) -> DataFrame:
-    """Order lines with their order, and with activity and coupon where there is one.
-
-    A line is written once: a stream holds a line without activity or coupon until the watermark
-    passes the bound, instead of writing it early and correcting it.
-    """
+def _order_line_sides(changes: DataFrame, database: str | None) -> tuple[DataFrame, ...]:
+    """Orders, their lines, and the lines' activities and coupons."""
     order = changes_of(changes, "order_info", "insert", ["id", "user_id", "province_id"], database)
     line = changes_of(
         changes,
@@ -75,9 +69,10 @@ def fact_order_detail(
     coupon = changes_of(
         changes, "order_detail_coupon", "insert", ["order_detail_id", "coupon_id"], database
     )
-    rows = fact_join(line, order, ("order_id", "id"), "inner", bound)
-    rows = fact_join(rows, activity, ("id", "order_detail_id"), "left", bound)
-    rows = fact_join(rows, coupon, ("id", "order_detail_id"), "left", bound)
+    return order, line, activity, coupon
+
+
+def _order_detail_columns(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select(
         "id",
         "order_id",
@@ -97,9 +92,41 @@ def fact_order_detail(
         as_decimal("split_total_amount").alias("split_total_amount"),
         "ts",
         "et",
+        *more,
     )
 
 
+def fact_order_detail(
+    changes: DataFrame, bound: str | None = None, database: str | None = None
+) -> DataFrame:
+    """Order lines with their order, and with activity and coupon where there is one.
+
+    A line is written once: a stream holds a line without activity or coupon until the watermark
+    passes the bound. :func:`early_order_detail` writes it early and corrects it.
+    """
+    order, line, activity, coupon = _order_line_sides(changes, database)
+    rows = fact_join(line, order, ("order_id", "id"), "inner", bound)
+    rows = fact_join(rows, activity, ("id", "order_detail_id"), "left", bound)
+    rows = fact_join(rows, coupon, ("id", "order_detail_id"), "left", bound)
+    return _order_detail_columns(rows)
+
+
+def early_order_detail(changes: DataFrame, bound: str = "30 seconds", database: str | None = None) -> DataFrame:
+    """Order lines as soon as line and order are there, with ``sign`` and ``ver`` as :func:`early_left_join` adds them."""
+    order, line, activity, coupon = _order_line_sides(changes, database)
+    rows = fact_join(line, order, ("order_id", "id"), "inner", bound)
+    sides = [side.withColumnRenamed("order_detail_id", "id").drop("ts") for side in (activity, coupon)]
+    return _order_detail_columns(early_left_join(rows, sides, "id", bound), "sign", "ver")
+
+
+def order_detail_log(rows: DataFrame) -> DataFrame:
+    """The append-only fact log of :func:`early_order_detail`: every version of a line, with the times of its writing.
+
+    ``ver`` puts the versions of a line in order. A reader that nets versions (T7) needs no rows that are taken back.
+    """
+    return with_processing_times(rows.filter("sign = 1").drop("sign", "et"))
+
+
 def with_processing_times(fact: DataFrame) -> DataFrame:
     """Add when a row was processed: ``ct``/``pt`` as timestamps, ``uct``/``ut`` in epoch seconds."""
     now = F.current_timestamp()

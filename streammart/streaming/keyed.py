@@ -14,10 +14,14 @@ from streammart.functions import day_of
 from streammart.operators.windows import ensure_watermark, has_watermark
 from streammart.streaming import processors
 from streammart.streaming.processors import (
+    EarlyLeftJoin,
     FirstOfDay,
     FirstSeen,
+    FirstSeenByKey,
     FixNewFlag,
     LatestAfterDelay,
+    Normalise,
+    OffsetByKey,
     OffsetVersions,
 )
 
@@ -179,3 +183,83 @@ def stream_latest_per_key(
         outputMode="append",
         timeMode="ProcessingTime",
     )
+
+
+def stream_normalised(records: DataFrame, ttl: str | None) -> DataFrame:
+    """``op``, ``value``, ``seq`` of keyed records; see :func:`streammart.sources.upserts.normalised`."""
+
+    def newest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.sort_values("seq").drop_duplicates("key", keep="last")
+
+    rows = records.select("key", "value", "seq")
+    return (
+        rows.mapInPandas(newest, rows.schema)
+        .groupBy("key")
+        .transformWithState(
+            statefulProcessor=Normalise(millis(ttl) if ttl else None),
+            outputStructType="op string, value string, seq bigint",
+            outputMode="append",
+            timeMode="ProcessingTime" if ttl else "None",
+        )
+    )
+
+
+def first_seen_by_key(df: DataFrame, key: str, payload: dict, et: str = "et", ttl: str = "1 day") -> DataFrame:
+    """The first row of each key, whose state Spark drops after ``ttl`` of processing time: one value a key.
+
+    The event-time form, :func:`stream_first_seen`, gives the same rows on every run; this one forgets by the clock, as
+    a running job's retention does, and its state grows key by key instead of being rewritten by the bucket.
+    """
+    rows = df.filter(F.col(et).isNotNull()).select(
+        F.col(key).alias("seen_key"), *[F.col(c).alias(name) for name, c in payload.items()], F.col(et).alias("et")
+    )
+    fields = [T.StructField(c, rows.schema[c].dataType) for c in ["et", *payload]]
+    return rows.groupBy("seen_key").transformWithState(
+        statefulProcessor=FirstSeenByKey(list(payload), millis(ttl)),
+        outputStructType=T.StructType(fields),
+        outputMode="append",
+        timeMode="ProcessingTime",
+    )
+
+
+def offset_versions_by_key(df: DataFrame, keys: list[str], order: list[str], measures: list[str], et: str = "et", ttl: str = "1 hour") -> DataFrame:
+    """:func:`stream_offset_versions` with one value a key in the state, dropped by Spark after ``ttl`` of processing time."""
+    rows = df.filter(F.col(et).isNotNull())
+    return rows.groupBy(*keys).transformWithState(
+        statefulProcessor=OffsetByKey(rows.columns, order, measures, millis(ttl)),
+        outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema]),
+        outputMode="append",
+        timeMode="ProcessingTime",
+    )
+
+
+# Rows that travel as JSON keep their microseconds.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def stream_early_left_join(sides: list[DataFrame], keys: list[str], bound: str, et: str, delay: str) -> DataFrame:
+    """``sign``, ``ver`` and ``rows`` (JSON of the left row and of each side's match) of sides that share ``keys``."""
+    parts = [
+        side.filter(F.col(et).isNotNull()).select(
+            *[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)],
+            F.lit(i).alias("side"),
+            F.unix_millis(et).alias("at"),
+            F.to_json(F.struct(*side.columns), TIMES).alias("row"),
+            F.col(et).alias("et"),
+        )
+        for i, side in enumerate(sides)
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return (
+        ensure_watermark(rows, "et", delay)
+        .groupBy(*[f"k{n}" for n in range(len(keys))])
+        .transformWithState(
+            statefulProcessor=EarlyLeftJoin(len(sides) - 1, millis(bound)),
+            outputStructType="sign int, ver bigint, rows array<string>",
+            outputMode="append",
+            timeMode="EventTime",
+        )
+    )

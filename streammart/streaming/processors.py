@@ -206,3 +206,148 @@ class LatestAfterDelay(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class Normalise(StatefulProcessor):
+    """Keyed records to added and retracted ones: the newest record of a key replaces the one before it.
+
+    Of a micro-batch only the newest record counts, so nothing but it is held. State is the newest record, with Spark's
+    time to live if one is given.
+    """
+
+    def __init__(self, ttl_ms: int | None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "value string, seq bigint", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        newest = None
+        for row in rows:
+            if newest is None or (row["seq"], row["value"] or "") > (newest["seq"], newest["value"] or ""):
+                newest = row
+        held = self.last.get()
+        before, at = held if held else (None, None)
+        if newest is None or (at is not None and newest["seq"] <= at):
+            return
+        self.last.update((newest["value"], newest["seq"]))
+        if newest["value"] == before:
+            return
+        if before is not None:
+            yield Row(op="-U" if newest["value"] is not None else "-D", value=before, seq=newest["seq"])
+        if newest["value"] is not None:
+            yield Row(op="+I" if before is None else "+U", value=newest["value"], seq=newest["seq"])
+
+    def close(self) -> None:
+        pass
+
+
+class FirstSeenByKey(StatefulProcessor):
+    """Emit the first row of a key, and again once Spark's time to live has dropped the key."""
+
+    def __init__(self, payload: list[str], ttl_ms: int):
+        self.order, self.ttl_ms = ["et", *payload], ttl_ms
+        self.make = Row(*self.order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first = min(rows, key=lambda r: rank(r, self.order))
+        if not self.seen.exists():
+            self.seen.update((True,))
+            yield self.make(*[first[c] for c in self.order])
+
+    def close(self) -> None:
+        pass
+
+
+class OffsetByKey(StatefulProcessor):
+    """Pass the versions of a key on, and each replaced one once more with negated measures.
+
+    Only the newest version is held, by Spark's time to live. A version that comes late is taken back at once.
+    """
+
+    def __init__(self, columns: list[str], order: list[str], measures: list[str], ttl_ms: int):
+        self.columns, self.order, self.measures, self.ttl_ms = columns, order, measures, ttl_ms
+        self.make = Row(*columns)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.latest = handle.getValueState("latest", "row binary", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        value = self.latest.get()
+        last = held = self.make(*pickle.loads(bytes(value[0]))) if value else None
+        for row in rows:
+            at = rank(row, self.order)
+            if last is not None and at == rank(last, self.order):
+                continue  # the same version delivered again
+            yield self.make(*[row[c] for c in self.columns])
+            late = last is not None and at < rank(last, self.order)
+            gone = row if late else last
+            if gone is not None:
+                undone = [-gone[c] if c in self.measures and gone[c] is not None else gone[c] for c in self.columns]
+                yield self.make(*undone)
+            if not late:
+                last = row
+        if last is not held:
+            self.latest.update((pickle.dumps(tuple(last[c] for c in self.columns), protocol=4),))
+
+    def close(self) -> None:
+        pass
+
+
+class EarlyLeftJoin(StatefulProcessor):
+    """Left rows joined with what is there, corrected when more comes: each change takes back what it replaces.
+
+    Rows are ``side`` (0: left), ``at`` (event time in ms) and ``row`` (JSON). State is the rows of a key within the
+    bound, dropped by one timer a key once the watermark is past all that they could meet.
+    """
+
+    def __init__(self, sides: int, bound_ms: int):
+        self.sides, self.bound_ms = sides, bound_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "rows string")
+
+    def _joined(self, rows: list) -> dict[tuple, int]:
+        """How often each combination of a left row and its matches occurs, NULL where a side has none."""
+        found: dict[tuple, int] = {}
+        for _, at, left in (r for r in rows if r[0] == 0):
+            made = [(left,)]
+            for side in range(1, self.sides + 1):
+                match = [r[2] for r in rows if r[0] == side and abs(r[1] - at) <= self.bound_ms] or [None]
+                made = [(*m, x) for m in made for x in match]
+            for m in made:
+                found[m] = found.get(m, 0) + 1
+        return found
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        value = self.held.get()
+        held = json.loads(value[0]) if value else {"rows": [], "n": 0}
+        known = held["rows"]
+        every = known + [[r["side"], r["at"], r["row"]] for r in rows]
+        before, after = self._joined(known), self._joined(every)
+        n = held["n"]
+        for sign in (-1, 1):
+            for made in sorted({*before, *after}, key=str):
+                change = after.get(made, 0) - before.get(made, 0)
+                for _ in range(max(0, sign * change)):
+                    n += 1
+                    yield Row(sign=sign, ver=n, rows=list(made))
+        self.held.update((json.dumps({"rows": every, "n": n}),))
+        until = max(r[1] for r in every) + self.bound_ms + 1
+        if not known or until > max(r[1] for r in known) + self.bound_ms + 1:
+            self.handle.registerTimer(until)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        value = self.held.get()
+        if value:
+            rows = json.loads(value[0])["rows"]
+            if max(r[1] for r in rows) + self.bound_ms < timerValues.getCurrentWatermarkInMs():
+                self.held.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
