@@ -6,7 +6,8 @@ the shared file system; restarting with the same folder continues where the job
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,18 +44,25 @@ def error_topic(topic: str) -> str:
     return f"{topic}_error"
 
 
-def keep_good(batch: DataFrame, topic: str, errors: str | None, batch_id: int) -> DataFrame:
+@contextmanager
+def keep_good(batch: DataFrame, topic: str, errors: str | None, batch_id: int) -> Iterator[DataFrame]:
     """The readable records of a micro-batch; the others are written to the topic's error topic below ``errors``.
 
-    The micro-batch has ``_bad`` if its source was parsed with ``keep_bad``. A replay replaces what it wrote.
+    The micro-batch has ``_bad`` if its source was parsed with ``keep_bad``. It is cached, so that both outputs come from
+    one parse. A replay replaces what it wrote.
     """
     if "_bad" not in batch.columns:
-        return batch
-    good, bad = diverted(batch)
+        yield batch
+        return
     if errors is None:
         raise ValueError(f"{topic} keeps its unreadable records: name a folder for their topic")
-    write_topic_batch(bad, error_topic(topic), errors, batch_id)
-    return good
+    batch = batch.persist()
+    try:
+        good, bad = diverted(batch)
+        write_topic_batch(bad, error_topic(topic), errors, batch_id)
+        yield good
+    finally:
+        batch.unpersist()
 
 
 def start_error_job(
@@ -63,7 +71,8 @@ def start_error_job(
     """The unreadable records of a source (parsed with ``keep_bad``) to its error topic, beside jobs that read the others."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        keep_good(batch, topic, errors, batch_id)
+        with keep_good(batch, topic, errors, batch_id):
+            pass
 
     return start_stream(rows.filter("_bad is not null").select("_bad"), checkpoint, save, trigger).start()
 
@@ -112,7 +121,10 @@ def start_dim_job(
     spark = changes.sparkSession
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch = keep_good(batch, schemas.TOPIC_CHANGELOG, errors, batch_id)
+        with keep_good(batch, schemas.TOPIC_CHANGELOG, errors, batch_id) as rows:
+            apply(rows, batch_id)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
         # The routing table holds one row per dimension.
         config = read_config().collect()
         routes = spark.createDataFrame(config, schemas.DIM_ROUTE) if config else None
@@ -161,7 +173,10 @@ def start_routed_fact_job(
     """Change log -> one topic per configured (table, type), unreadable records as in :func:`start_dim_job`."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch = keep_good(batch, schemas.TOPIC_CHANGELOG, errors, batch_id)
+        with keep_good(batch, schemas.TOPIC_CHANGELOG, errors, batch_id) as rows:
+            route(rows, batch_id)
+
+    def route(batch: DataFrame, batch_id: int) -> None:
         routed = route_facts(drop_bootstrap(batch), read_config(), database)
         rows = routed.select("sink_table", F.to_json("data").alias("value"))
         (

@@ -84,7 +84,8 @@ def test_error_job_and_missing_folder(spark, tmp_path, topic):  # noqa: F811
     run(jobs.start_error_job(stream, "topic_db", str(tmp_path / "errors"), str(tmp_path / "ck"), NOW))
     assert [r.value for r in topics.read_topic(spark, "topic_db_error", root=str(tmp_path / "errors")).collect()] == ["nothing"]
     with pytest.raises(ValueError):
-        jobs.keep_good(topics.read_changelog(spark, keep_bad=True, root=str(tmp_path)), "topic_db", None, 0)
+        with jobs.keep_good(topics.read_changelog(spark, keep_bad=True, root=str(tmp_path)), "topic_db", None, 0):
+            pass
 
 
 def test_null_versions_are_offset(spark):
