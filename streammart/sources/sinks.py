@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-import json
+import re
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from streammart.functions import snake_name
@@ -101,25 +100,22 @@ def write_routed(
     return None
 
 
-def merged_schema(known: dict | None, new: T.StructType) -> dict:
-    """The stored schema of a table, with the columns that a batch adds to it."""
-    fields = list(T.StructType.fromJson(known).fields) if known else []
-    names = {f.name for f in fields}
-    fields += [T.StructField(f.name, f.dataType, True) for f in new if f.name not in names]
-    return T.StructType(fields).jsonValue()
-
-
 class UpsertTable:
-    """Parquet rows, one per key, in hash buckets; a merge rewrites only the buckets it touches.
+    """Parquet rows, one per key, in partitions; a merge reads the partitions it touches and overwrites them.
 
-    Every merge writes its buckets to a new folder and then one line naming, for each bucket, the
-    folder that holds it. Readers follow the newest line, so they see a whole merge or none of it,
-    and a merge that died half-way leaves only unreferenced files. One writer per table.
+    A table that grows with time should name a column a key never changes, such as the day of an order line, as
+    ``part``: it is partitioned by it, and a merge leaves other days alone. Without it keys are dealt to ``buckets``
+    partitions by hash.
 
-    A table that grows with time should name a column a key never changes, such as the day of an
-    order line, as ``part``: the buckets are then kept per part, and a merge leaves other days alone.
+    A merge is written beside the table first and then put in place by a dynamic partition overwrite. A driver that
+    dies between the two leaves the merge whole beside the table, and the next merge puts it in place again. Each
+    partition also holds one row per source, without columns, naming the last batch applied: a replay skips
+    the partitions that have it. One writer per table; a reader that starts during the overwrite may miss partitions
+    that are being replaced, so look-ups that need whole tables belong into the writer's own batch or after it.
     """
 
+    PART, SOURCE, BATCH = "_part", "_source", "_batch"
+
     def __init__(
         self,
         spark: SparkSession,
@@ -130,52 +126,64 @@ class UpsertTable:
     ):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.buckets, self.part = keys, buckets, part
+        self.rows, self.staged = f"{self.root}/rows", f"{self.root}/staged"
+
+    def _path(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _there(self, path: str) -> bool:
+        fs, path = self._path(path)
+        return fs.exists(path)
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
-
-    def _versions(self) -> list[int]:
-        fs, jvm = self._fs()
-        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/log/*/_SUCCESS"))
-        return sorted(int(s.getPath().getParent().getName()) for s in done or [])
-
-    def _state(self) -> tuple[int, dict]:
-        versions = self._versions()
-        if not versions:
-            return -1, {"buckets": {}, "sources": {}, "schema": None}
-        line = self.spark.read.text(f"{self.root}/log/{versions[-1]}").first()["value"]
-        return versions[-1], json.loads(line)
-
-    def _load(self, folders: dict[str, int], schema: dict | None) -> DataFrame | None:
-        """Buckets written before a column was added answer NULL for it."""
-        paths = [f"{self.root}/data/{v}/_bucket={b}" for b, v in folders.items()]
+    @staticmethod
+    def _folder(part: object) -> str:
+        """The partition of a value; two values may share one."""
+        return "d-" + re.sub("[^A-Za-z0-9.-]", "_", "none" if part is None else str(part))
+
+    def part_of(self) -> Column:
+        if self.part is None:
+            return F.concat(F.lit("b-"), F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string"))
+        value = F.coalesce(F.col(self.part).cast("string"), F.lit("none"))
+        return F.concat(F.lit("d-"), F.regexp_replace(value, "[^A-Za-z0-9.-]", "_"))
+
+    def _load(self, folders: list[str] | None = None) -> DataFrame | None:
+        """Rows and batch marks of the given partitions, or of all; files older than a column answer NULL for it."""
+        if not self._there(self.rows):
+            return None
+        paths = [self.rows]
+        if folders is not None:
+            paths = [p for p in (f"{self.rows}/{self.PART}={f}" for f in folders) if self._there(p)]
         if not paths:
             return None
-        if schema is None:
-            return self.spark.read.option("mergeSchema", "true").parquet(*paths)
-        return self.spark.read.schema(T.StructType.fromJson(schema)).parquet(*paths)
+        return self.spark.read.option("mergeSchema", "true").option("basePath", self.rows).parquet(*paths)
 
     def exists(self) -> bool:
-        return bool(self._versions())
+        return self._there(self.rows)
 
     def read(self, parts: list[str] | None = None) -> DataFrame:
         """The current rows; of the given parts only, if the table has parts."""
-        state = self._state()[1]
-        folders = state["buckets"]
-        if parts is not None:
-            folders = {b: at for b, at in folders.items() if b.rpartition(".")[0] in parts}
-        rows = self._load(folders, state.get("schema"))
-        if rows is None:
+        stored = self._load(None if parts is None else sorted(map(self._folder, parts)))
+        rows = None if stored is None else stored.filter(F.col(self.BATCH).isNull())
+        if rows is None or rows.isEmpty():
             raise FileNotFoundError(f"no rows have been merged into {self.root}")
-        return rows
+        if parts is not None:
+            rows = rows.filter(F.coalesce(F.col(self.part).cast("string"), F.lit("none")).isin(list(map(str, parts))))
+        return rows.drop(self.PART, self.SOURCE, self.BATCH)
 
-    def bucket_of(self) -> Column:
-        number = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string")
-        if self.part is None:
-            return number
-        return F.concat_ws(".", F.coalesce(F.col(self.part).cast("string"), F.lit("none")), number)
+    def _put_in_place(self) -> None:
+        """Overwrite the partitions that are written whole beside the table; nothing if there are none."""
+        if not self._there(f"{self.staged}/_SUCCESS"):
+            return
+        (
+            self.spark.read.parquet(self.staged)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.PART)
+            .parquet(self.rows)
+        )
+        fs, path = self._path(self.staged)
+        fs.delete(path, True)
 
     def rewrite(
         self,
@@ -184,45 +192,38 @@ class UpsertTable:
         source: str = "batch",
         batch_id: int | None = None,
     ) -> bool:
-        """Replace the touched buckets by ``build(their current rows, changes)``.
+        """Replace the touched partitions by ``build(their current rows, changes)``.
 
         A batch already applied for ``source`` is skipped, so replays after a restart change
         nothing. Returns whether anything was written.
         """
-        version, state = self._state()
-        if batch_id is not None and state["sources"].get(source, -1) >= batch_id:
-            return False
-        changes = changes.persist()
+        self._put_in_place()
+        changes = changes.withColumn(self.PART, self.part_of()).persist()
         try:
-            # At most `buckets` rows per part come back, however large the change set is.
-            touched = [r[0] for r in changes.select(self.bucket_of()).distinct().collect()]
+            # Days or buckets, not rows: what comes back is bounded by the partitions of the table.
+            touched = [r[0] for r in changes.select(self.PART).distinct().collect()]
+            stored = self._load(touched) if touched else None
+            wanted = changes
+            if stored is not None and batch_id is not None:
+                seen = stored.filter((F.col(self.SOURCE) == source) & (F.col(self.BATCH) >= batch_id))
+                done = [r[0] for r in seen.select(self.PART).distinct().collect()]
+                touched = [p for p in touched if p not in set(done)]
+                stored = stored.filter(~F.col(self.PART).isin(done))
+                wanted = changes.filter(~F.col(self.PART).isin(done))
             if not touched:
                 return False
-            held = {b: state["buckets"][b] for b in touched if b in state["buckets"]}
-            current = self._load(held, state.get("schema"))
-            built = build(current, changes)
-            rows = built.withColumn("_bucket", self.bucket_of())
-            state["schema"] = merged_schema(state.get("schema"), built.schema)
-            version += 1
-            target = f"{self.root}/data/{version}"
-            rows.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy(
-                "_bucket"
-            ).parquet(target)
-            # A bucket whose rows were all deleted has no folder in the new version.
-            fs, jvm = self._fs()
-            kept = {
-                s.getPath().getName().split("=")[1]
-                for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{target}/_bucket=*")) or []
-            }
-            for b in touched:
-                if b in kept:
-                    state["buckets"][b] = version
-                else:
-                    state["buckets"].pop(b, None)
-            if batch_id is not None:
-                state["sources"][source] = batch_id
-            line = self.spark.createDataFrame([(json.dumps(state),)], "value string")
-            line.coalesce(1).write.mode("overwrite").text(f"{self.root}/log/{version}")
+            applied = F.lit(-1 if batch_id is None else batch_id).cast("bigint")
+            marks = wanted.select(self.PART, F.lit(source).alias(self.SOURCE), applied.alias(self.BATCH))
+            current = None
+            if stored is not None:
+                is_mark = F.col(self.BATCH).isNotNull()
+                marks = marks.unionByName(stored.filter(is_mark).select(*marks.columns))
+                current = stored.filter(~is_mark).drop(*marks.columns)
+            marks = marks.groupBy(self.PART, self.SOURCE).agg(F.max(self.BATCH).alias(self.BATCH))
+            built = build(current, wanted.drop(self.PART)).withColumn(self.PART, self.part_of())
+            built = built.unionByName(marks, allowMissingColumns=True)
+            built.hint("rebalance", self.PART).write.mode("overwrite").partitionBy(self.PART).parquet(self.staged)
+            self._put_in_place()
         finally:
             changes.unpersist()
         return True
@@ -247,20 +248,6 @@ class UpsertTable:
 
         return self.rewrite(changes, build, source, batch_id)
 
-    def vacuum(self, keep: int = 10) -> None:
-        """Delete folders that none of the last ``keep`` versions refers to."""
-        fs, jvm = self._fs()
-        path = jvm.org.apache.hadoop.fs.Path
-        versions = self._versions()
-        live: set[int] = set()
-        for v in versions[-keep:]:
-            line = self.spark.read.text(f"{self.root}/log/{v}").first()["value"]
-            live |= set(json.loads(line)["buckets"].values())
-        for v in versions[:-keep]:
-            fs.delete(path(f"{self.root}/log/{v}"), True)
-            if v not in live:
-                fs.delete(path(f"{self.root}/data/{v}"), True)
-
 
 def write_upsert(
     changes: DataFrame,
