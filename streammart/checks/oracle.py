@@ -517,6 +517,8 @@ add(
     select '+I' as op, user_id, event_type, k from newest where place = 1 and k < 90""",
     "ev",
 )
+ORACLE["src_changelog_split"] = ORACLE["src_changelog"]
+ORACLE["fact_order_detail_split"] = ORACLE["fact_order_detail"]
 ORACLE["stream_order_detail"] = f"with one as ({ORACLE['fact_order_detail']}) select *, count(*) as n from one group by all"
 add(
     "stream_chain_province",

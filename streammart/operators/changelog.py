@@ -6,10 +6,13 @@ the change in ``data`` and the replaced cells in ``old``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streammart.functions import as_decimal, as_int, keep_keys, not_blank
 from streammart.operators.state import latest_per_key
@@ -18,6 +21,9 @@ from streammart.operators.state import latest_per_key
 CHANGE_TYPES = ["insert", "update", "delete", "bootstrap-insert"]
 BOOTSTRAP = "bootstrap-"
 
+# Routes that may become a constant of the plan.
+ROUTE_LIMIT = 1_000
+
 
 def clean_changelog(changes: DataFrame, database: str) -> DataFrame:
     """Rows of one database with a known type and at least one data cell."""
@@ -115,19 +121,48 @@ def current_config(
     return newest.filter("_alive = 1").drop("ts_ms", "_alive")
 
 
-def route_dims(changes: DataFrame, config: DataFrame, *keep: str) -> DataFrame:
-    """Changes of configured tables, pruned to ``sink_columns``, with their destination.
+def bounded_routes(config: DataFrame, limit: int = ROUTE_LIMIT) -> list[Row] | None:
+    """The routes, or None when there are more than ``limit``: no more than that is ever fetched."""
+    rows = config.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
+
+def with_routes(changes: DataFrame, config: DataFrame, on: dict[str, str], limit: int = ROUTE_LIMIT) -> DataFrame:
+    """Every change once for each route it matches, the route as the struct ``_route``.
 
-    The routing table has one row per dimension, so Catalyst broadcasts it after checking its size
-    and the log is not shuffled.
+    ``on`` maps columns of the change to those of the route that must equal them; NULL matches nothing. Up to ``limit``
+    routes, read when this is called, become a constant map that each row is looked up in: the log is neither shuffled
+    nor meets a broadcast, and the names of its tables reach the scan as a filter. A running query calls this in
+    each micro-batch and so follows the configuration. More routes than that are joined.
     """
-    routed = changes.join(config, changes["table"] == config["source_table"])
-    return routed.select(
-        "sink_table",
-        "sink_row_key",
+    routes = bounded_routes(config, limit)
+    same = [F.col(left) == F.col(f"_route.{right}") for left, right in on.items()]
+    if routes is None:
+        packed = config.select(F.struct(*config.columns).alias("_route"))
+        return changes.join(packed, reduce(Column.__and__, same))
+    first, first_of = next(iter(on.items()))
+    by_name: dict[str, list[dict]] = {}
+    for route in routes:
+        if None not in [route[c] for c in on.values()]:
+            by_name.setdefault(route[first_of], []).append(route.asDict())
+    if not by_name:
+        return changes.withColumn("_route", F.lit(None).cast(config.schema)).filter(F.lit(False))
+    table = F.from_json(F.lit(json.dumps(by_name)), T.MapType(T.StringType(), T.ArrayType(config.schema)))
+    routed = changes.filter(F.col(first).isin(sorted(by_name)))
+    routed = routed.withColumn("_route", F.explode(F.try_element_at(table, F.col(first))))
+    return routed.filter(reduce(Column.__and__, same))
+
+
+def route_dims(changes: DataFrame, config: DataFrame, *keep: str) -> DataFrame:
+    """Changes of configured tables, pruned to ``sink_columns``, with their destination."""
+    config = config.select("source_table", "sink_table", "sink_columns", "sink_row_key")
+    row_key = F.col("_route.sink_row_key")
+    return with_routes(changes, config, {"table": "source_table"}).select(
+        "_route.sink_table",
+        "_route.sink_row_key",
         "type",
-        keep_keys("data", "sink_columns").alias("data"),
-        F.col("data")[F.col("sink_row_key")].alias("row_key"),
+        keep_keys("data", "_route.sink_columns").alias("data"),
+        F.col("data")[row_key].alias("row_key"),
         *[c for c in dict.fromkeys(("ts", "et", *keep)) if c in changes.columns],
     )
 
@@ -135,10 +170,10 @@ def route_dims(changes: DataFrame, config: DataFrame, *keep: str) -> DataFrame:
 def route_facts(changes: DataFrame, config: DataFrame, database: str | None = None) -> DataFrame:
     """Changes whose (table, type) is configured, pruned and with ``ts`` added to the data."""
     rows = changes.filter(F.col("database") == database) if database else changes
-    matched = (rows["table"] == config["source_table"]) & (rows["type"] == config["source_type"])
-    pruned = F.map_filter(keep_keys("data", "sink_columns"), lambda k, _: k != "ts")
-    return rows.join(config, matched).select(
-        "sink_table",
+    config = config.select("source_table", "source_type", "sink_table", "sink_columns")
+    pruned = F.map_filter(keep_keys("data", "_route.sink_columns"), lambda k, _: k != "ts")
+    return with_routes(rows, config, {"table": "source_table", "type": "source_type"}).select(
+        "_route.sink_table",
         F.map_concat(pruned, F.create_map(F.lit("ts"), F.col("ts").cast("string"))).alias("data"),
         *[c for c in ("ts", "et") if c in changes.columns],
     )

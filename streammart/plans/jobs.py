@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streammart import schemas
 from streammart.operators.changelog import (
     apply_dim_changes,
+    bounded_routes,
     clean_changelog,
     current_config,
     drop_bootstrap,
@@ -34,7 +35,7 @@ from streammart.sources.sinks import (
     write_topic_batch,
     write_upsert,
 )
-from streammart.sources.topics import diverted
+from streammart.sources.topics import diverted, write_split_changelog
 
 ReadConfig = Callable[[], DataFrame]
 
@@ -125,11 +126,13 @@ def start_dim_job(
             apply(rows, batch_id)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # The routing table holds one row per dimension.
-        config = read_config().collect()
-        routes = spark.createDataFrame(config, schemas.DIM_ROUTE) if config else None
-        if routes is None:
+        # The routing table holds one row per dimension, and each dimension is a table to write.
+        config = bounded_routes(read_config())
+        if config is None:
+            raise ValueError("too many dimension routes for one job: split the configuration over several")
+        if not config:
             return
+        routes = spark.createDataFrame(config, schemas.DIM_ROUTE)
         # Changes of one row come from one topic partition, in order; ts counts whole seconds.
         arrival = F.monotonically_increasing_id()
         routed = route_dims(clean_changelog(batch, database).withColumn("_n", arrival), routes, "_n")
@@ -161,6 +164,21 @@ def start_dim_job(
     return start_stream(changes.drop("et"), checkpoint, save, trigger).start()
 
 
+def start_split_job(
+    changes: DataFrame, root: str, checkpoint: str, trigger: Trigger | None = None, errors: str | None = None
+) -> StreamingQuery:
+    """Change log -> one folder per business table, to be read by :func:`streammart.sources.topics.read_split_changelog`.
+
+    The log is parsed here once; jobs that want some tables open only those. A replay replaces what it wrote.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        with keep_good(batch, schemas.TOPIC_CHANGELOG, errors, batch_id) as rows:
+            write_split_changelog(rows, root, batch_id)
+
+    return start_stream(changes.drop("et"), checkpoint, save, trigger).start()
+
+
 def start_routed_fact_job(
     changes: DataFrame,
     read_config: ReadConfig,

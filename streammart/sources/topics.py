@@ -115,6 +115,33 @@ def read_changelog(spark: SparkSession, delay: str | None = "3 seconds", keep_ba
     return parse_changelog(read_topic(spark, **source), delay, keep_bad)
 
 
+def write_split_changelog(changes: DataFrame, root: str, batch_id: int = 0) -> None:
+    """Change rows as Parquet below ``table=`` and ``batch_id=``: one parse for all their readers.
+
+    Writing a ``batch_id`` again replaces the tables it holds. A table that makes up most of the log is cut into
+    several files, small ones become one.
+    """
+    fields = T.StructType.fromDDL(schemas.CHANGELOG).names
+    (
+        changes.select(*fields, F.lit(batch_id).alias("batch_id"))
+        .hint("rebalance", "table")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("table", "batch_id")
+        .parquet(root)
+    )
+
+
+def read_split_changelog(
+    spark: SparkSession, root: str, delay: str | None = "3 seconds", streaming: bool = False
+) -> DataFrame:
+    """The change log as :func:`write_split_changelog` left it; a filter on ``table`` opens that table's folders only."""
+    fields = T.StructType.fromDDL(schemas.CHANGELOG).names
+    reader = spark.readStream if streaming else spark.read
+    rows = reader.schema(f"{schemas.CHANGELOG}, batch_id bigint").parquet(root).select(*fields)
+    return with_event_time(rows, "ts", "s", delay)
+
+
 def read_page_log(spark: SparkSession, delay: str | None = "0 seconds", keep_bad: bool = False, **source) -> DataFrame:
     source.setdefault("topics", schemas.LOG_OUTPUTS["page"])
     return parse_page_log(read_topic(spark, **source), delay, keep_bad)

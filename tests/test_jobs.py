@@ -302,3 +302,41 @@ def test_replay_skips_only_the_partitions_that_have_the_batch(spark, tmp_path):
     assert table.merge(rows.withColumn("v", F.lit(9)), ["v"], source="s", batch_id=3)
     assert collect(table.read().select("id", "v")) == [(1, 0), (2, 9), (3, 9)]
     assert collect(table.read(["a/b"]).select("id")) == [(3,)]
+
+
+def test_a_route_appears_while_the_job_runs(spark, tmp_path, topic):
+    log, routes = topic("topic_db"), [("user_info", "insert", "dwd_user_register", "id")]
+    reader = lambda: spark.createDataFrame(routes, schemas.FACT_ROUTE)
+    changes = topics.read_changelog(spark, root=str(tmp_path), streaming=True, delay=None, options={"maxFilesPerTrigger": "1"})
+    job = jobs.start_routed_fact_job(changes, reader, str(tmp_path / "out"), str(tmp_path / "ck"), "shop", {"processingTime": "0 seconds"})
+    try:
+        log.put(change("user_info", "insert", {"id": "1"}), change("favor_info", "insert", {"id": "2"}))
+        job.processAllAvailable()
+        routes.append(("favor_info", "insert", "dwd_interaction_favor_add", "id"))
+        log.put(change("user_info", "insert", {"id": "3"}), change("favor_info", "insert", {"id": "4"}))
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    rows = spark.read.text(str(tmp_path / "out"))
+    got = sorted((json.loads(r["value"])["id"], r["sink_table"]) for r in rows.collect())
+    assert got == [("1", "dwd_user_register"), ("3", "dwd_user_register"), ("4", "dwd_interaction_favor_add")]
+
+
+def test_split_job_and_its_readers(spark, tmp_path, topic):
+    log, out, errors = topic("topic_db"), str(tmp_path / "split"), str(tmp_path / "errors")
+
+    def go(checkpoint):
+        changes = topics.read_changelog(spark, root=str(tmp_path), streaming=True, delay=None, keep_bad=True)
+        run(jobs.start_split_job(changes, out, str(tmp_path / checkpoint), NOW, errors))
+
+    log.put(change("a", "insert", {"id": "1"}), change(None, "insert", {"id": "0"}), "{broken")
+    go("ck")
+    log.put(change("a", "insert", {"id": "2"}), change("b", "insert", {"id": "3"}))
+    go("ck")
+    back = topics.read_split_changelog(spark, out)
+    assert collect(back.select("table", F.col("data")["id"])) == [("0", None), ("1", "a"), ("2", "a"), ("3", "b")]
+    assert collect(spark.read.text(f"{errors}/topic_db_error").select("value")) == [("{broken",)]
+    stream = topics.read_split_changelog(spark, out, delay=None, streaming=True).filter("table = 'a'")
+    rows = stream.select(F.col("data")["id"].alias("value"))
+    run(sinks.write_topic(rows, "copy", root=str(tmp_path / "o"), checkpoint=str(tmp_path / "c2"), trigger=NOW))
+    assert collect(topics.read_topic(spark, "copy", root=str(tmp_path / "o"))) == [("1",), ("2",)]

@@ -304,3 +304,16 @@ def test_serving_today_and_series(spark):
 def test_processing_times(spark):
     row = facts.with_processing_times(spark.range(1)).first()
     assert row["ct"] == row["pt"] and row["uct"] == row["ut"] > 1_700_000_000
+
+
+@pytest.mark.parametrize("limit", [10, 1])
+def test_routes_by_constant_and_by_join_agree(spark, limit):
+    """Several routes of one table, routes with NULL, names with quotes, more routes than fit, none at all."""
+    rows = [("a", "insert", 1), ("a", "update", 2), ("b", "insert", 3), ("o'\"x", "insert", 4), (None, "insert", 5), ("a", None, 6)]
+    changes = spark.createDataFrame(rows, "`table` string, type string, n int")
+    routes = [("a", "insert", "one"), ("a", "insert", "two"), ("a", None, "no"), (None, "insert", "no"), ("o'\"x", "insert", "q"), ("c", "insert", "no")]
+    config = spark.createDataFrame(routes, "source_table string, source_type string, sink_table string")
+    on = {"table": "source_table", "type": "source_type"}
+    got = cl.with_routes(changes, config, on, limit)
+    assert collect(got.select("n", "_route.sink_table")) == [(1, "one"), (1, "two"), (4, "q")]
+    assert cl.with_routes(changes, config.limit(0), on, limit).count() == 0

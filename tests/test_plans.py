@@ -73,3 +73,18 @@ def test_a_day_opens_one_folder(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
     assert "cur_date" in filters and "2024-01-01" in filters
+
+
+@pytest.mark.parametrize("name", ["route_dims", "route_facts"])
+def test_routes_are_a_constant_and_the_log_stays_where_it_is(spark, name):
+    text = plan(spark, name)
+    assert "Join" not in text and "Exchange" not in text
+    assert "from_json" not in text  # folded into a literal
+
+
+def test_a_table_of_the_split_log_opens_its_folders_only(spark):
+    text = plan(spark, "fact_order_detail_split", broadcast=False)
+    scans = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", text)
+    opened = [re.search(r"table#\d+ = (\w+)", filters).group(1) for filters in scans]
+    assert sorted(opened) == ["order_detail", "order_detail_activity", "order_detail_coupon", "order_info"]
+    assert "from_json" not in text
