@@ -2,7 +2,8 @@
 
 The builder closes elements whose end tags are implied (p, li, dt, dd, option, table parts), adds the row or
 the list that a stray cell or item implies, and hides what a browser hides: head, scripts, styles, templates,
-the hidden attribute, display:none, visibility:hidden unless a descendant turns it visible, closed dialogs.
+the hidden attribute, display:none, visibility:hidden unless a descendant turns it visible, closed dialogs, all but
+the summary of closed details, and of drawings all but their text elements. A table's foot comes last wherever it stands.
 The renderer keeps block spacing (margins collapse to one empty line), numbers and indents lists, keeps white
 space in pre, and aligns table cells in columns.
 
@@ -30,13 +31,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
 RCDATA = frozenset("title textarea".split())
 UNSEEN = frozenset(
-    "head script style template noscript iframe noembed noframes datalist object audio video canvas svg math title".split()
+    "head script style template noscript iframe noembed noframes datalist object audio video canvas title annotation annotation-xml".split()
 )
-LOOSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
+LOOSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre xmp figure fieldset hr".split())
 TIGHT = frozenset(
     "address article aside body caption center dd details dialog div dt figcaption footer form header html legend "
     "li main menu nav option optgroup section summary tbody td tfoot th thead tr".split()
 )
+# Parts of a drawing that are drawn nowhere, or only where they are referred to.
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask marker pattern".split())
+# Inside these, markup is that of a page again.
+FOREIGN_WALLS = ("foreignobject", "desc", "title", "annotation-xml", "mi", "mo", "mn", "ms", "mtext")
 # A start tag on the left ends the nearest open element on the right, unless a wall stands between.
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu", "table", "td", "th")),
@@ -53,6 +58,8 @@ ENDS = {
     "body": (("head",), ()),
 }
 P_ENDERS = (LOOSE | TIGHT) - {"body", "html", "option", "optgroup", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
+# Start tags that end an open drawing or formula.
+BREAKOUT = P_ENDERS | frozenset("b big br code em embed head i img nobr ruby s small span strong strike sub sup tt u var".split())
 P_WALLS = ("td", "th", "caption", "button", "table")
 END_WALLS = ("table", "td", "th", "caption")
 
@@ -96,7 +103,10 @@ class Builder:
                 return False
         return False
 
-    def start(self, tag: str, attributes: dict[str, str]) -> None:
+    def start(self, tag: str, attributes: dict[str, str], slash: bool = False) -> None:
+        """``slash``: the tag ends in one, which counts in drawings and formulas only."""
+        if tag in BREAKOUT:
+            self.close_nearest(("svg", "math"), FOREIGN_WALLS)
         if tag in P_ENDERS:
             self.close_nearest(("p",), P_WALLS)
         if tag in ENDS:
@@ -109,6 +119,8 @@ class Builder:
             attributes = {"value": "", **attributes}
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
+        if slash and (tag in ("svg", "math") or any(n.tag in ("svg", "math") for n in self.open)):
+            return
         if tag not in VOID and len(self.open) <= MAX_DEPTH:
             self.open.append(node)
 
@@ -124,7 +136,7 @@ class Builder:
 
 
 def parse(page: str) -> Node:
-    """The tree of a page; script-like content is dropped as it is read."""
+    """The tree of a page; script-like content is dropped as it is read, that of ``xmp`` is text as it stands."""
     builder, at = Builder(), 0
     while match := _TOKEN.match(page, at):
         at = match.end()
@@ -136,12 +148,14 @@ def parse(page: str) -> Node:
         if match[1] == "</":
             builder.end(tag)
             continue
-        builder.start(tag, _attributes(match[3]))
+        builder.start(tag, _attributes(match[3]), match[3].endswith("/"))
         if tag in RAW or tag in RCDATA:
             ended = _RAW_END[tag].search(page, at)
             stop = ended.start() if ended else len(page)
             if tag in RCDATA:
                 builder.text(page[at:stop])
+            elif tag == "xmp":
+                builder.open[-1].children.append(page[at:stop])
             at = stop
     return builder.root
 
@@ -219,9 +233,30 @@ class Page:
         return self.lines
 
 
+def _opened(node: Node) -> list[Node | str]:
+    """The children that are there to be seen: of closed details, the first summary."""
+    if node.tag != "details" or "open" in node.attributes:
+        return node.children
+    return [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+
+
+def _drawing(node: Node, page: Page, visible: bool, depth: int) -> None:
+    """The text elements of a drawing, each on a line."""
+    for child in node.children:
+        if isinstance(child, str) or child.tag in UNDRAWN:
+            continue
+        boxed, seen = _shown(child, visible)
+        if boxed and child.tag in ("text", "foreignobject"):
+            page.margin(1)
+            _render(child, page, seen, False, depth)
+            page.margin(1)
+        elif boxed:
+            _drawing(child, page, seen, depth)
+
+
 def _render(node: Node, page: Page, visible: bool, pre: bool, depth: int) -> None:
     """``depth`` counts the lists around the node."""
-    for child in node.children:
+    for child in _opened(node):
         if isinstance(child, str):
             if visible:
                 page.verbatim(child) if pre else page.words(child)
@@ -232,6 +267,8 @@ def _render(node: Node, page: Page, visible: bool, pre: bool, depth: int) -> Non
         tag = child.tag
         if tag == "br":
             page.hard_break()
+        elif tag == "svg":
+            _drawing(child, page, seen, depth)
         elif tag == "table":
             page.margin(2)
             page.block(_table(child, seen, depth))
@@ -250,7 +287,7 @@ def _render(node: Node, page: Page, visible: bool, pre: bool, depth: int) -> Non
         elif tag in LOOSE or tag in TIGHT:
             breaks = 2 if tag in LOOSE else 1
             page.margin(breaks)
-            _render(child, page, seen, pre or tag == "pre", depth)
+            _render(child, page, seen, pre or tag in ("pre", "xmp"), depth)
             page.margin(breaks)
         else:
             _render(child, page, seen, pre or tag == "textarea", depth)
@@ -297,13 +334,20 @@ def _width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
+def _in_row_order(node: Node) -> list[Node | str]:
+    """A table's children: its first head, then the others, then its first foot."""
+    place = {"thead": 0, "tfoot": 2}
+    ends = {t: next((c for c in node.children if isinstance(c, Node) and c.tag == t), None) for t in place}
+    return sorted(node.children, key=lambda c: place[c.tag] if isinstance(c, Node) and c is ends.get(c.tag) else 1)
+
+
 def _table(node: Node, visible: bool, depth: int) -> list[str]:
     """Lines of a table: captions, then rows with aligned columns; spans leave blank cells."""
     captions: list[str] = []
     grid: list[dict[int, list[str]]] = []
     spread: set[tuple[int, int]] = set()  # cells over several columns widen none
     taken: dict[int, int] = {}  # column -> rows that a cell above still covers
-    queue: list[tuple[Node | str, bool]] = [(c, visible) for c in reversed(node.children)]
+    queue: list[tuple[Node | str, bool]] = [(c, visible) for c in reversed(_in_row_order(node))]
     while queue:
         part, seen = queue.pop()
         if isinstance(part, str):

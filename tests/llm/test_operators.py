@@ -163,6 +163,13 @@ def test_pii_skip_edges_carry_labels(spark, small_dir):
         ("<" * 10 + "a href='x", "<" * 10 + "a href='x"),
         (None, ""),
         ("", ""),
+        ("a<svg><title>no</title><defs><text>no</text></defs><circle r=1 /><g>no<text>shown</text></g></svg>b", "a\nshown\nb"),
+        ("<svg><foreignObject><p>in</p></foreignObject></svg><svg><path/><p>after", "in\n\nafter"),
+        ("so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds", "so x=2 holds"),
+        ("<math/>a<xmp>a<b &amp;\n  <i>c</i></xmp>d", "a\n\na<b &amp;\n  <i>c</i>\n\nd"),
+        ("<table><tfoot><tr><td>sum<td>3<tbody><tr><td>x<td>3<thead><tr><td>n<td>v</table>", "n    v\nx    3\nsum  3"),
+        ("<details>no<summary>S</summary>no<summary>no</summary></details>x<details open><summary>T</summary>body</details>", "S\nx\nT\nbody"),
+        ("<details><p>no</p></details>x", "x"),
     ],
 )
 def test_html(page, text):
@@ -180,6 +187,25 @@ def test_html_query(spark, small_dir):
         assert got.replace("-", "") == seen.replace("-", "")  # list marks are the renderer's
 
 
+def plain_table(cells):
+    """Columns as wide as their widest cell, two spaces apart."""
+    widths = [max(len(row[i]) for row in cells) for i in range(len(cells[0]))]
+    lines = ["  ".join(c.ljust(w) for c, w in zip(row, widths)).rstrip() for row in cells]
+    return "\n".join(line for row, line in zip(cells, lines) if any(row))
+
+
+def test_html_tables_by_plain_layout():
+    rng = random.Random(3)
+    for _ in range(200):
+        width, height = rng.randint(1, 5), rng.randint(1, 6)
+        cells = [["".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(width)] for _ in range(height)]
+        rows = ["<tr>" + "".join(f"<td>{c}" + rng.choice(["", "</td>"]) for c in row) + rng.choice(["", "</tr>"]) for row in cells]
+        foot = rng.choice([0, 1]) if height > 1 else 0
+        body = "<tbody>" + "".join(rows[: height - foot])
+        tail = "<tfoot>" + rows[-1] if foot else ""
+        assert html.extract(f"<table>{tail}{body}</table>" if rng.random() < 0.5 else f"<table>{body}{tail}</table>") == plain_table(cells)
+
+
 def test_html_odd(spark):
     schema = "page_id long, url string, html string, text string"
     odd = spark.createDataFrame([(None, None, None, "t"), (1, "u", "<div>" * 5000 + "deep", "t"), (1, "u", "", "t")], schema)
