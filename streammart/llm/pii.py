@@ -1,9 +1,11 @@
 """Personal data (operator 2): base patterns, completed by a skip-chain conditional random field.
 
 Base spans come from four patterns with their checks. The field's nodes are the tokens that carry a digit or
-an ``@``; all other tokens are fixed to "no entity", which cuts the chain there and keeps inference exact in
-cost: linear in such tokens. Chain edges join neighbouring nodes, skip edges join each node to the next one of
-the same document with the same or a similar text (same digits without separators, same word without case).
+an ``@``, and those that repeat the name before the ``@`` of an address found in the document ("jane.doe" after
+"jane.doe@x.org"; a name of letters only may be any word and is left alone); all other tokens are fixed to "no entity",
+which cuts the chain there and keeps inference exact in cost: linear in such tokens. Chain edges join neighbouring
+nodes, skip edges join each node to the next one and to the first one of the same document with the same or a
+similar text (same digits without separators, same word without case), so that a label reaches every repeat in two steps.
 Loopy sum-product messages run over both kinds of edge; tokens of base spans are clamped to their label, and
 other tokens whose marginal passes ``threshold`` become further spans. Base spans are never removed.
 
@@ -32,6 +34,7 @@ LABELS = ("none", *KINDS)
 SAMPLE_DOCS = 2000
 SAMPLE_NODES = 200  # of one sampled document; the sample is a fit only, inference reads all nodes
 THRESHOLD = 0.9
+LEAST_NAME = 5  # letters of a word that is linked to its repeats
 MOST_DIGITS = {"card": 19, "phone": 15}  # of one span of several tokens; the other kinds have one token
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -41,6 +44,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGNAL = re.compile(r"[0-9@]\S*")
+_WORD = re.compile(r"\S+")
 _SEPARATORS = re.compile(r"[^0-9]+")
 
 
@@ -93,16 +97,36 @@ def nodes(text: str) -> list[tuple[int, int]]:
         while start > free and not text[start - 1].isspace():
             start -= 1
         free = end
-        while end > start and not (text[end - 1].isalnum()):
-            end -= 1
-        while start < end and not (text[start].isalnum() or text[start] == "+"):
-            start += 1
+        start, end = _trimmed(text, start, end)
         if start < end:
             found.append((start, end))
         at = _SIGNAL.search(text, free)
     return found
 
 
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    while end > start and not (text[end - 1].isalnum()):
+        end -= 1
+    while start < end and not (text[start].isalnum() or text[start] == "+"):
+        start += 1
+    return start, end
+
+
+def handles(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Tokens, none of them in ``nodes``, that are the name of an address among ``spans``, without case."""
+    names = {text[s:e].partition("@")[0].lower() for kind, s, e in spans if kind == 0}
+    names = {n for n in names if len(n) >= LEAST_NAME and not n.isalpha() and n[0].isalnum() and n[-1].isalnum()}
+    if not names:
+        return []
+    found = []
+    for word in _WORD.finditer(text):
+        if not _SIGNAL.search(word.group()):
+            start, end = _trimmed(text, *word.span())
+            if text[start:end].lower() in names:
+                found.append((start, end))
+    return found
+
+
 def labels_of(tokens: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> np.ndarray:
     """The label of the span that overlaps a token; 0 for none."""
     out = np.zeros(len(tokens), np.int64)
@@ -133,20 +157,21 @@ def features(text: str, tokens: list[tuple[int, int]]) -> np.ndarray:
 
 
 def edges(text: str, tokens: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of node numbers: chain (touching neighbours) and skip (next token with the same key)."""
+    """Pairs of node numbers: chain (touching neighbours) and skip (next and first token with the same key)."""
     chain = [i for i in range(len(tokens) - 1) if tokens[i + 1][0] - tokens[i][1] <= 3]
-    skip, last = [], {}
+    skip, first, last = set(), {}, {}
     for i, (s, e) in enumerate(tokens):
         token = text[s:e].lower()
         digits = _SEPARATORS.sub("", token)
         keys = {"d" + digits} if len(digits) >= 6 else set()
-        if e - s >= 5:
+        if e - s >= LEAST_NAME:
             keys.add("w" + token.partition("@")[0])
         for key in keys:
             if key in last:
-                skip.append((last[key], i))
+                skip |= {(last[key], i), (first[key], i)}
+            first.setdefault(key, i)
             last[key] = i
-    return np.array([(i, i + 1) for i in chain], np.int64).reshape(-1, 2), np.array(skip, np.int64).reshape(-1, 2)
+    return np.array([(i, i + 1) for i in chain], np.int64).reshape(-1, 2), np.array(sorted(skip), np.int64).reshape(-1, 2)
 
 
 @dataclass
@@ -161,7 +186,7 @@ class Field:
         """Label probabilities of each node after loopy messages; nodes with ``known`` > 0 are clamped."""
         own = features(text, tokens) @ self.unary
         clamp = known > 0
-        own[clamp] = -50.0
+        own[clamp] = -1e9  # more than any number of messages
         own[clamp, known[clamp]] = 0.0
         chain, skip = edges(text, tokens)
         pairs = np.concatenate([chain, skip])
@@ -192,7 +217,7 @@ class Field:
         self, text: str, spans: list[tuple[int, int, int]], threshold: float = THRESHOLD
     ) -> list[tuple[int, int, int]]:
         """Spans besides the given ones, none of which overlaps one of those."""
-        tokens = nodes(text)
+        tokens = sorted(nodes(text) + handles(text, spans))
         known = labels_of(tokens, spans)
         if not len(tokens) or known.all():
             return []

@@ -138,6 +138,24 @@ def test_pii_long_runs_take_linear_time():
     assert pii.base_spans("1." * 100_000)[:1] == [(1, 0, 7)]
 
 
+def test_pii_bare_handles():
+    spans = pii.base_spans("x jane.doe@x.org, support@x.org, a1.b@x.org")
+    text = "x jane.doe@x.org, support@x.org, a1.b@x.org (Jane.Doe) support jane.doe, a1.b jane.doe.x"
+    assert [text[s:e] for s, e in pii.handles(text, spans)] == ["Jane.Doe", "jane.doe"]
+    assert pii.handles(text, []) == [] and pii.handles("", spans) == []
+
+
+def test_pii_handles_are_found_at_every_repeat(spark):
+    field = pii.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for text, times in (("Write to jane.doe@x.org. Ask Jane.Doe, or jane.doe.", 2), ("jane.doe@x.org " + "said, Jane.Doe then " * 200, 200)):
+        base = pii.base_spans(text)
+        added = field.more_spans(text, base)
+        assert len(base) == 1 and len(added) == times
+        assert {text[s:e].lower() for _, s, e in added} == {"jane.doe"} and {k for k, _, _ in added} == {0}
+    words = "Mail support@x.org: support is here, as is jane.doe"
+    assert field.more_spans(words, pii.base_spans(words)) == []
+
+
 def test_pii_skip_edges_carry_labels(spark, small_dir):
     # Both tokens are cards for themselves, but the base pattern takes them as one number of 32 digits.
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
