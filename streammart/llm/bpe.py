@@ -2,7 +2,8 @@
 
 A rank file gives the vocabulary and the merges. Text is cut by the pattern, the UTF-8 bytes of each piece
 are mapped to printable characters, and the library's BPE model merges them. Pieces that are tokens are looked up; of
-the others a worker keeps those it saw lately, in a cache bounded by pieces and by characters.
+the others a worker keeps those it saw lately, in a cache bounded by pieces and by characters. The ids of a piece are
+kept as the bytes of its 32-bit numbers, so that those of a text are joined like bytes and become an Arrow array as they are.
 
 Cases: a null text encodes as an empty one; an empty text has no ids; texts of any length are read whole;
 ids that are null or outside the vocabulary raise an error in ``decode``; a null id list decodes as empty.
@@ -15,10 +16,11 @@ import base64
 import functools
 import os
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +47,7 @@ class Codec:
             ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines if line.strip())}
         self.pattern = regex.compile(pattern)
         to_char = byte_table()
-        self.mapping = dict(enumerate(to_char))
+        self.mapping = "".join(to_char)
         # A pair may merge whenever its bytes are a token; the token's rank orders the merges.
         # A piece that is itself a token is taken whole.
         merges = [
@@ -59,10 +61,12 @@ class Codec:
         # Decoding turns the characters of a token back into bytes; each token's bytes are worked out once.
         byte_of = {c: b for b, c in enumerate(to_char)}
         self.tokens = {rank: bytes(byte_of[c] for c in text) for text, rank in vocab.items()}
+        # By id, for whole columns; a number that is not an id has none.
+        self.by_id = pa.array([self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)], pa.binary())
         self.whole = {}
         for token, rank in ranks.items():
             try:
-                self.whole[token.decode()] = [rank]
+                self.whole[token.decode()] = np.int32(rank).tobytes()
             except UnicodeDecodeError:
                 continue  # part of a character: never a piece
         self.cache, self.older, self.chars = dict(self.whole), {}, 0
@@ -70,12 +74,15 @@ class Codec:
     def _mapped(self, data: bytes) -> str:
         return data.decode("latin-1").translate(self.mapping)
 
-    def merged(self, pieces: list[str]) -> list[list[int]]:
+    def merged(self, pieces: list[str]) -> list[bytes]:
         """The library's ids of each piece, all pieces sent as one sequence of words."""
-        coded = self.model.encode([self._mapped(p.encode()) for p in pieces], is_pretokenized=True, add_special_tokens=False)
-        counts = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(pieces)).tolist()
-        ids = iter(coded.ids)
-        return [list(islice(ids, n)) for n in counts]
+        # Byte 255 occurs in no UTF-8 text.
+        words = self._mapped(b"\xff".join([p.encode() for p in pieces])).split(self.mapping[255])
+        coded = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ends = 4 * np.cumsum(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(pieces)))
+        ids = np.array(coded.ids, np.int32).tobytes()
+        cuts = [0, *ends.tolist()]
+        return [ids[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def learn(self, pieces: set[str]) -> None:
         """Put these pieces into the cache; those that neither generation has go through the library."""
@@ -98,17 +105,21 @@ class Codec:
         if new:
             self.cache.update(zip(new, self.merged(new)))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as the bytes of their 32-bit numbers."""
         split = [self.pattern.findall(t) for t in texts]  # the pattern has no groups
         distinct = set(chain.from_iterable(split))
         self.learn(distinct)
         known = self.cache
-        out = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
         for p in distinct:
             if len(p) > LONG_PIECE:
                 known.pop(p, None)
         return out
 
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(ids, np.int32).tolist() for ids in self.packed(texts)]
+
     def offsets(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Code points [start, end) that each token touches; a token with part of a character touches it."""
         ends = np.cumsum([len(self.tokens[i]) for i in ids], dtype=np.int64)
@@ -120,6 +131,14 @@ class Codec:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_column(self, ids: pa.Array) -> pa.Array:
+        """The bytes of each id list of a column: the ids' bytes are looked up and joined in Arrow; null lists are empty."""
+        flat, bounds = ids.flatten(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())])
+        parts = self.by_id.take(flat.cast(pa.int32()))
+        if parts.null_count:
+            raise KeyError("an id is null or outside the vocabulary")
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), parts), b"")
+
 
 @functools.lru_cache(maxsize=2)
 def codec(ranks_path: str, pattern: str) -> Codec:
@@ -159,10 +178,12 @@ def encode(
         coder = codec(ranks_path, pattern)
         for batch in _rows(batches, "_bpe_text"):
             texts = batch.column("_bpe_text").to_pylist()
-            ids = coder.encode(texts)
-            out = [batch.column(n) for n in names] + [_lists(ids, pa.int32())]
+            packed = coder.packed(texts)
+            bounds = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in packed])]).astype(np.int32)
+            flat = pa.array(np.frombuffer(b"".join(packed), np.int32))
+            out = [batch.column(n) for n in names] + [pa.ListArray.from_arrays(pa.array(bounds), flat)]
             if offsets:
-                spans = [coder.offsets(t, i) for t, i in zip(texts, ids)]
+                spans = [coder.offsets(t, np.frombuffer(i, np.int32).tolist()) for t, i in zip(texts, packed)]
                 out += [_lists([s[k] for s in spans], pa.int32()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(out, [*names, *new])
 
@@ -180,10 +201,10 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", a
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks_path, pattern)
         for batch in _rows(batches, ids_col):
-            data = [coder.decode(ids or []) for ids in batch.column(ids_col).to_pylist()]
-            out = [*(batch.column(n) for n in names), pa.array(data, pa.binary())]
+            data = coder.decode_column(batch.column(ids_col))
+            out = [*(batch.column(n) for n in names), data]
             if as_text:
-                out.append(pa.array([d.decode("utf-8", "replace") for d in data], pa.string()))
+                out.append(pa.array([d.decode("utf-8", "replace") for d in data.to_pylist()], pa.string()))
             yield pa.RecordBatch.from_arrays(out, [*names, *new])
 
     return keep.mapInArrow(run, schema)

@@ -75,3 +75,21 @@ def test_near_dedup_at_a_lower_similarity(spark):
     for percent in (80, 85):
         kept = corpus_pipeline.drop_near_duplicates(spark, docs, "", percent=percent).collect()
         assert {r.doc_id for r in kept} == set(plain.near_components(texts, percent).values())
+
+
+def test_bpe_columns_decode_like_lists():
+    """Slices, null and empty lists; ids that are null or no ids are errors."""
+    import pyarrow as pa
+    import pytest
+
+    from streammart.llm import bpe
+
+    coder = bpe.codec(*bpe.multi_50k())
+    texts = ["", "ab  cd\n", "漢字🎉", "x" * 500 + "ÿ\xff", "one two"]
+    ids = coder.encode(texts)
+    column = pa.array([[0], None, *ids, []], pa.list_(pa.int32()))
+    assert coder.decode_column(column.slice(1)).to_pylist() == [b"", *[t.encode() for t in texts], b""]
+    assert [coder.decode(i) for i in ids] == [t.encode() for t in texts]
+    for bad in (None, -1, 10**6):
+        with pytest.raises((KeyError, pa.ArrowInvalid, IndexError)):
+            coder.decode_column(pa.array([[bad]], pa.list_(pa.int32())))
