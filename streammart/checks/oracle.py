@@ -500,6 +500,7 @@ ORACLE["stream_late_drop"] = f"with {SQL['ev']}" + windowed(
     "(select et from ev where not (event_type = 'error' and day(et) <= 10))", HOUR, "", "count(*) as n"
 )
 ORACLE["stream_fix_new_flag"] = ORACLE["state_fix_new_flag"]
+ORACLE["stream_latest_per_key"] = ORACLE["state_latest_per_key"]
 ORACLE["stream_retract_offsets"] = ORACLE["state_retract_offsets"]
 # The streamed join names a bound of five seconds of event time.
 ORACLE["stream_refund"] = ORACLE["fact_refund"].replace("o_orderstatus = 'P'", "o_orderstatus = 'P' and abs(l_linenumber * 3 - 10) <= 5")

@@ -850,6 +850,17 @@ def stream_province_orders(spark, sf_dir):
     return plain(summaries.province_names(v.ended(drained(spark, "stream-province", totals)), names))
 
 
+@query
+def stream_latest_per_key(spark, sf_dir):
+    """The versions of a line are at most eight seconds apart, so ten seconds hold them all."""
+    from streammart.streaming import keyed
+
+    rows = v.order_versions(spark, v.Closed(sf_dir)).select("id", "sku_id", "split_total_amount", *v.VERSION_ORDER)
+    latest = keyed.stream_latest_per_key(rows, ["id"], list(v.VERSION_ORDER), "10 seconds", et="et")
+    kept = v.ended(drained(spark, "stream-latest", undated(latest)), "et")
+    return plain(kept.select("id", "sku_id", "split_total_amount", "et"))
+
+
 @query
 def stream_late_drop(spark, sf_dir):
     """Errors of the first ten days arrive after day twenty: too late to be counted."""

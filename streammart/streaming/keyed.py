@@ -174,14 +174,24 @@ def stream_offset_versions(
 
 
 def stream_latest_per_key(
-    df: DataFrame, keys: list[str], order: list[str], delay: str = "5 seconds"
+    df: DataFrame, keys: list[str], order: list[str], delay: str = "5 seconds", et: str | None = None, late: str = "0 seconds"
 ) -> DataFrame:
-    """One row per burst of versions: the latest, ``delay`` after the first of them arrived."""
-    return df.groupBy(*keys).transformWithState(
-        statefulProcessor=LatestAfterDelay(df.columns, order, millis(delay)),
-        outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]),
+    """One row per burst of versions: the latest, ``delay`` after the first of them.
+
+    Without ``et`` the clock decides, so that reruns may cut bursts differently. With ``et`` a version is written once the
+    watermark (``late`` behind the newest row) is ``delay`` past the first of its burst: the same rows from the same
+    micro-batches, but none while no newer row of any key arrives. Rows without a time are then left out. As what is written is older than
+    the watermark, the result has none: windows over it belong into a job that reads what this one wrote.
+    """
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    rows = df
+    if et is not None:
+        rows = ensure_watermark(df, et, late).filter(F.col(et).isNotNull()).withColumn("_at_ms", F.unix_millis(F.col(et)))
+    return rows.groupBy(*keys).transformWithState(
+        statefulProcessor=LatestAfterDelay(df.columns, order, millis(delay), "_at_ms" if et is not None else None),
+        outputStructType=schema,
         outputMode="append",
-        timeMode="ProcessingTime",
+        timeMode="ProcessingTime" if et is None else "EventTime",
     )
 
 

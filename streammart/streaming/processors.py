@@ -173,34 +173,43 @@ class FirstSeen(StatefulProcessor):
 
 
 class LatestAfterDelay(StatefulProcessor):
-    """Hold the latest version of a key for a while of processing time, then emit it once."""
+    """Hold the latest version of a key for a while, then emit it once.
 
-    def __init__(self, columns: list[str], order: list[str], delay_ms: int):
-        self.make = Row(*columns)
-        self.order, self.delay_ms = order, delay_ms
+    The while starts with the first version held: at its arrival, or at the least ``at`` (event time in ms) of the
+    micro-batch it came with.
+    """
+
+    def __init__(self, columns: list[str], order: list[str], delay_ms: int, at: str | None = None):
+        self.columns, self.make = columns, Row(*columns)
+        self.order, self.delay_ms, self.at = order, delay_ms, at
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "row binary")
+        self.last = handle.getValueState("last", "row binary, due bigint")
 
-    def _load(self) -> Row | None:
+    def _load(self) -> tuple[Row | None, int]:
         value = self.last.get()
-        return self.make(*pickle.loads(bytes(value[0]))) if value else None
+        return (self.make(*pickle.loads(bytes(value[0]))), value[1]) if value else (None, 0)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = last = self._load()
+        last, due = self._load()
+        if last is not None and self.at is not None and due <= timerValues.getCurrentWatermarkInMs():
+            yield last  # its time is over, though its timer is only looked at after these rows
+            last = None
+        fresh, start = last is None, None
         for row in rows:
             if last is None or rank(row, self.order) >= rank(last, self.order):
                 last = row
-        self.last.update((pickle.dumps(tuple(last), protocol=4),))
-        if held is None:
-            now = timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer(now + self.delay_ms)
-        return iter(())
+            if self.at is not None and (start is None or row[self.at] < start):
+                start = row[self.at]
+        if fresh:
+            due = self.delay_ms + (timerValues.getCurrentProcessingTimeInMs() if start is None else start)
+            self.handle.registerTimer(due)
+        self.last.update((pickle.dumps(tuple(last[c] for c in self.columns), protocol=4), due))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        row = self._load()
-        if row:
+        row, due = self._load()
+        if row is not None and due <= expiredTimerInfo.getExpiryTimeInMs():
             self.last.clear()
             yield row
 

@@ -234,3 +234,42 @@ def test_latest_after_delay(spark, tmp_path):
         assert collect(spark.table("held")) == [(6.0, "a", 2), (7.0, "b", 1)]
     finally:
         query.stop()
+
+
+def test_latest_per_key_by_event_time(spark, live):
+    """Over several micro-batches: one row a key, the one that a batch finds, as versions are less than the delay apart."""
+    from streammart.streaming.keyed import stream_latest_per_key
+
+    def rows(sf):
+        return v.order_versions(spark, sf).select("id", "sku_id", *v.VERSION_ORDER)
+
+    order = list(v.VERSION_ORDER)
+    got = drain(spark, stream_latest_per_key(rows(live), ["id"], order, "10 seconds", et="et"))
+    assert collect(got.filter(F.col("et") < BEFORE_END)) == collect(state.latest_per_key(rows(SMALL), ["id"], order, ["sku_id", *order]).select(got.columns))
+
+
+def test_a_second_burst_is_written_again(spark, tmp_path):
+    """What comes after a key was written opens a new burst; a row without a time, or one behind the watermark, is left out."""
+    import datetime
+
+    import pandas as pd
+
+    from conftest import save_parts
+    from streammart.streaming.keyed import stream_latest_per_key
+
+    def at(second):
+        return None if second is None else datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=second)
+
+    def part(*rows):
+        return pd.DataFrame([(k, version, at(s)) for k, version, s in rows], columns=["id", "version", "et"]).astype({"version": "Int64", "et": "datetime64[us]"})
+
+    parts = [
+        part(("a", 1, 0), ("a", 2, 2), ("b", 1, 3), ("c", 9, None)),
+        part(("a", 3, 4), ("b", None, 3), ("z", 1, 60)),
+        part(("a", 4, 70), ("a", 9, 1), ("z", 2, 61)),
+        part(("z", 1, 500)),
+    ]
+    save_parts(parts, str(tmp_path / "in"))
+    stream = spark.readStream.schema("id string, version bigint, et timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = drain(spark, stream_latest_per_key(stream, ["id"], ["version"], "10 seconds", et="et"))
+    assert sorted((r.id, r.version) for r in got.collect()) == [("a", 3), ("a", 4), ("b", 1), ("z", 2)]
