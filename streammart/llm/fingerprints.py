@@ -214,22 +214,30 @@ def neighbours(docs: DataFrame) -> DataFrame:
 
     Splitters from a bounded sample cut the order into buckets. The first row of each bucket is repeated as a
     ghost at the end of the bucket before it, and that of the first bucket at the end of the last.
+    Rows equal in id and text are sampled one by one, so that many of them make several splitters; they are dealt over all
+    the buckets that these bound. Such a row is told from its equals by its place in the input, which a table keeps
+    when a task is run again.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("code", F.xxhash64("text")).withColumn("named", F.col("doc_id").isNotNull())
+    docs = docs.withColumn("place", F.xxhash64(F.monotonically_increasing_id()))
     count = 4 * partitions_of(spark)
-    sample = bounded_sample(docs.select("named", "doc_id", "code"), 32 * count, "doc_id", "code").collect()
-    keys = sorted({_order(*r) for r in sample})
+    sample = bounded_sample(docs.select("named", "doc_id", "code", "place"), 32 * count, "doc_id", "code", "place").collect()
+    keys = sorted(_order(r["named"], r["doc_id"], r["code"]) for r in sample)
     splitters = spark.sparkContext.broadcast(keys[:: max(1, len(keys) // count)][1:])
 
     @F.pandas_udf("int")
-    def bucket_of(named: pd.Series, doc_id: pd.Series, code: pd.Series) -> pd.Series:
-        cuts = splitters.value
-        return pd.Series([-bisect.bisect_right(cuts, _order(*k)) for k in zip(named, doc_id, code)], dtype="int32")
+    def bucket_of(named: pd.Series, doc_id: pd.Series, code: pd.Series, place: pd.Series) -> pd.Series:
+        cuts, out = splitters.value, []
+        for *key, at in zip(named, doc_id, code, place):
+            low = bisect.bisect_left(cuts, _order(*key))
+            high = bisect.bisect_right(cuts, _order(*key), low)
+            out.append(-(low + at % (high - low + 1)))
+        return pd.Series(out, dtype="int32")
 
     plain = F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
-    docs = docs.withColumn("bucket", bucket_of("named", plain, "code"))
+    docs = docs.withColumn("bucket", bucket_of("named", plain, "code", "place")).drop("place")
     heads = docs.groupBy("bucket").agg(F.max(F.struct("named", "doc_id", "code")).alias("head")).collect()  # a row a bucket
     if not heads:
         return docs.select("doc_id", "text", "bucket", F.lit(False).alias("ghost"))
@@ -238,13 +246,16 @@ def neighbours(docs: DataFrame) -> DataFrame:
     ghosts = [(order[i - 1], h["named"], h["doc_id"], h["code"]) for i, b in enumerate(order) for h in [by_bucket[b]]]
     kind = docs.schema["doc_id"].dataType.simpleString()
     ghosts = spark.createDataFrame(ghosts, f"into int, named boolean, head_id {kind}, head_code long")
-    # One row a bucket, so its size is bounded by the number of partitions.
+    # One row a bucket, so its size is bounded by the number of partitions. Equal rows may head many buckets: their text is
+    # looked up once.
+    ghosts = ghosts.groupBy("head_id", "head_code").agg(F.collect_list("into").alias("into"))
     same = (F.col("code") == F.col("head_code")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
-    heads_text = docs.drop("bucket", "named").join(F.broadcast(ghosts), same).dropDuplicates(["into"])
+    heads_text = docs.drop("bucket").join(F.broadcast(ghosts), same).dropDuplicates(["head_id", "head_code"])
     columns = ["doc_id", "text", "bucket", "code", "named", "ghost"]
-    ghost_rows = heads_text.withColumn("bucket", F.col("into")).withColumn("ghost", F.lit(True)).select(columns)
+    ghost_rows = heads_text.withColumn("bucket", F.explode("into")).withColumn("ghost", F.lit(True)).select(columns)
     rows = docs.withColumn("ghost", F.lit(False)).select(columns).union(ghost_rows)
-    rows = rows.repartition(partitions_of(spark), "bucket")
+    # By number, not by hash, so that partitions have as many buckets each.
+    rows = rows.repartitionById(partitions_of(spark), F.pmod(-F.col("bucket"), F.lit(partitions_of(spark))).cast("int"))
     inside = ["bucket", "ghost", F.col("named").desc(), F.col("doc_id").desc_nulls_last(), F.col("code").desc()]
     return rows.sortWithinPartitions(*inside).select("doc_id", "text", "bucket", "ghost")
 

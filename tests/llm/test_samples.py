@@ -93,3 +93,30 @@ def test_bpe_columns_decode_like_lists():
     for bad in (None, -1, 10**6):
         with pytest.raises((KeyError, pa.ArrowInvalid, IndexError)):
             coder.decode_column(pa.array([[bad]], pa.list_(pa.int32())))
+
+
+def test_fingerprints_of_equal_rows_are_dealt_over_tasks(spark):
+    """Many rows of two ids: several partitions hold them, and each is compared with what follows it in the order."""
+    from pyspark.sql import functions as F
+
+    from streammart.llm import fingerprints
+
+    texts = {0: "first text of the two, somewhat long", 1: "and the second one, which is other", 2: "a lone text"}
+    many = spark.range(0, 6000, numPartitions=4).select((F.col("id") % 2).alias("doc_id"))
+    text = F.when(F.col("doc_id") == 0, texts[0]).otherwise(texts[1])
+    docs = many.withColumn("text", text).union(spark.createDataFrame([(2, texts[2])], "doc_id long, text string"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        placed = fingerprints.neighbours(docs)
+        sizes = [r["count"] for r in placed.filter("not ghost").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == 6001 and len(sizes) == 8 and max(sizes) < 1500
+    rows = fingerprints.digests(spark, docs).groupBy("doc_id", "edited_sha256", "near_next").count().collect()
+
+    def expected(doc_id, following):
+        return plain.sha(fingerprints.edited(texts[doc_id], texts[following]).encode())
+
+    counts = {(r.doc_id, r.edited_sha256): r["count"] for r in rows}
+    assert counts == {(2, expected(2, 1)): 1, (1, expected(1, 1)): 2999, (1, expected(1, 0)): 1, (0, expected(0, 0)): 2999, (0, expected(0, 2)): 1}
