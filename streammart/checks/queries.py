@@ -889,9 +889,9 @@ def stream_fix_new_flag(spark, sf_dir):
 
 @query
 def stream_retract_offsets(spark, sf_dir):
-    out = state.offset_versions(
-        v.order_versions(spark, v.Live(sf_dir)), ["id"], list(v.VERSION_ORDER), ["split_total_amount", "split_coupon_amount"]
-    )
+    measures = ["split_total_amount", "split_coupon_amount"]
+    versions = v.order_versions(spark, v.Live(sf_dir)).select("id", "sku_id", *v.VERSION_ORDER, *measures)
+    out = state.offset_versions(versions, ["id"], list(v.VERSION_ORDER), measures)
     rows = out.select("id", "sku_id", "v2", "v3", "split_total_amount", "split_coupon_amount")
     return plain(drained(spark, "stream-offset", undated(rows)), "cur_date")
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from streammart.functions import day_of
 from streammart.operators.windows import ensure_watermark, has_watermark
@@ -94,19 +97,84 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
+def packed(rows: DataFrame, delay: str, reduce: Callable[[pa.Table], pa.Table] | None = None) -> DataFrame:
+    """Rows with ``_bucket`` and ``_et`` as one row for each bucket in a piece of a partition: ``rows`` in Arrow bytes.
+
+    Spark hands rows to a state processor one by one; packed ones travel and are compared as tables. ``reduce`` leaves
+    out rows of a piece that change no result. ``_et`` becomes the newest time in the pack, also of rows left out. The rows of a pack
+    are late only together.
+    """
+    time = rows.schema["_et"]
+    kind = T.StructType([T.StructField("_bucket", rows.schema["_bucket"].dataType), time, T.StructField("rows", T.BinaryType())])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        parts, n = [], 0
+        for batch in batches:
+            parts.append(batch)
+            n += batch.num_rows
+            if n >= processors.PIECE:
+                yield pa.Table.from_batches(parts).combine_chunks()
+                parts, n = [], 0
+        if n:
+            yield pa.Table.from_batches(parts).combine_chunks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            ends = piece.select(["_bucket", "_et"]).group_by("_bucket").aggregate([("_et", "max")])
+            ends = dict(zip(ends["_bucket"].to_pylist(), ends["_et_max"].cast(pa.int64()).to_pylist(), strict=True))
+            rest = reduce(piece) if reduce else piece
+            rest = rest.take(pc.sort_indices(rest, sort_keys=[("_bucket", "ascending")]))
+            runs = pc.run_end_encode(rest["_bucket"].combine_chunks())
+            stops = runs.run_ends.to_pylist()
+            body = rest.drop_columns(["_bucket", "_et"])
+            packs = [processors.pack(body.slice(i, j - i)) for i, j in zip([0, *stops], stops, strict=False)]
+            values = runs.values
+            times = pa.array([ends[b] for b in values.to_pylist()], pa.int64()).cast(piece.schema.field("_et").type)
+            yield pa.RecordBatch.from_arrays([values, times, pa.array(packs, pa.binary())], names=["_bucket", "_et", "rows"])
+
+    out = rows.mapInArrow(run, kind)
+    return out if has_watermark(out, "_et") else out.withWatermark("_et", delay)
+
+
+def unpacked(packs: DataFrame, fields: list[T.StructField], et: str) -> DataFrame:
+    """The rows of packs; their time carries the watermark that the packs have."""
+    marked = [T.StructField(f.name, f.dataType, True, packs.schema["_et"].metadata if f.name == et else {}) for f in fields]
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("rows"):
+                yield from processors.unpack(data.as_py()).select(names).to_batches(processors.PIECE)
+
+    return packs.mapInArrow(run, T.StructType(marked))
+
+
+def over_buckets(packs: DataFrame, processor: StatefulProcessor) -> DataFrame:
+    return packs.groupBy("_bucket").transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType="_et timestamp, rows binary",
+        outputMode="append",
+        timeMode="EventTime",
+        eventTimeColumnName="_et",
+    )
+
+
 def stream_first_seen(
     df: DataFrame, key: str, payload: dict, et: str, ttl: str, delay: str, buckets: int = 256
 ) -> DataFrame:
-    rows = _candidates(df, {"seen_key": key}, payload, et, [], delay).drop("day")
-    rows = rows.withColumns({"et_ms": F.unix_millis("et"), "_bucket": bucket_of(["seen_key"], buckets)})
-    fields = [T.StructField(c, rows.schema[c].dataType) for c in ["et", *payload]]
-    return rows.groupBy("_bucket").transformWithStateInPandas(
-        statefulProcessor=FirstSeen(list(payload), millis(ttl)),
-        outputStructType=T.StructType(fields),
-        outputMode="append",
-        timeMode="EventTime",
-        eventTimeColumnName="et",
+    """Of each piece of a partition only the first row of a key is sent, so a hot key is no bucket's burden."""
+    rows = df.filter(F.col(et).isNotNull()).select(
+        F.col(key).alias("seen_key"),
+        *[F.col(c).alias(name) for name, c in payload.items()],
+        F.col(et).alias("et"),
+        F.unix_millis(et).alias("et_ms"),
+        F.col(et).alias("_et"),
     )
+    order = ["et", *payload]
+    fields = [T.StructField(c, rows.schema[c].dataType) for c in order]
+    rows = rows.withColumn("_bucket", bucket_of(["seen_key"], buckets))
+    packs = packed(rows, delay, lambda piece: processors.first_rows(piece, ["seen_key"], order))
+    return unpacked(over_buckets(packs, FirstSeen(list(payload), millis(ttl))), fields, "et")
 
 
 def stream_fix_new_flag(logs: DataFrame, key: str, flag: str, et: str) -> DataFrame:
@@ -160,17 +228,10 @@ def stream_offset_versions(
     delay: str,
     buckets: int = 256,
 ) -> DataFrame:
-    rows = ensure_watermark(df, et, delay).filter(F.col(et).isNotNull()).withColumn("et_ms", F.unix_millis(F.col(et)))
-    fields = [T.StructField(f.name, f.dataType) for f in rows.schema]
+    rows = df.filter(F.col(et).isNotNull()).withColumns({"et_ms": F.unix_millis(F.col(et)), "_et": F.col(et)})
     rows = rows.withColumn("_bucket", bucket_of(keys, buckets))
-    out = rows.groupBy("_bucket").transformWithStateInPandas(
-        statefulProcessor=OffsetVersions(keys, order, measures, millis(ttl)),
-        outputStructType=T.StructType(fields),
-        outputMode="append",
-        timeMode="EventTime",
-        eventTimeColumnName=et,
-    )
-    return out.drop("et_ms")
+    undone = over_buckets(packed(rows, delay), OffsetVersions(keys, order, measures, et, millis(ttl)))
+    return unpacked(undone, list(df.schema), et)
 
 
 def stream_latest_per_key(

@@ -9,14 +9,19 @@ from __future__ import annotations
 
 import json
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
+# Fixed value: rows that are packed, and compared, at a time. A task holds a few such pieces.
+PIECE = 100_000
+
+
 def rank(row: Row, columns: list[str]) -> tuple:
     """Sorts like Spark does: NULLs first."""
     return tuple((row[c] is not None, row[c]) for c in columns)
@@ -92,30 +97,63 @@ class FixNewFlag(StatefulProcessor):
         pass
 
 
-def pack(rows: pd.DataFrame) -> bytes:
+def pack(rows: pa.Table) -> bytes:
     """Rows as Arrow bytes, which keep every type exactly."""
-    table = pa.Table.from_pandas(rows, preserve_index=False)
     out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, table.schema) as writer:
-        writer.write_table(table)
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(rows)
     return out.getvalue().to_pybytes()
 
 
-def unpack(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(pa.BufferReader(data)).read_all().to_pandas()
+def unpack(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pa.BufferReader(data)).read_all()
+
+
+def joined(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).combine_chunks()
+
+
+def gathered(frames: Iterator[pd.DataFrame], held: Callable[[], int]) -> Iterator[pa.Table]:
+    """Packed rows in tables of at least as many rows as are held: what is held is then gone through a few times, not once a frame."""
+    parts, n = [], 0
+    for pdf in frames:
+        for data in pdf["rows"]:
+            parts.append(unpack(data))
+            n += parts[-1].num_rows
+            if n >= max(held(), PIECE):
+                yield joined(parts)
+                parts, n = [], 0
+    if parts:
+        yield joined(parts)
+
+
+def ordered(rows: pa.Table, columns: list[str]) -> pa.Table:
+    """Sorts like Spark does: NULLs first. Rows that agree stay in their order."""
+    by = [(c, "ascending") for c in columns]
+    return rows.take(pc.sort_indices(rows, sort_keys=by, null_placement="at_start"))
+
+
+def repeated(rows: pa.Table, columns: list[str], keep: str) -> pa.Array:
+    """Whether a row is not the first (or last) one with its values."""
+    return pa.array(rows.select(columns).to_pandas(use_threads=False).duplicated(keep=keep).to_numpy())
+
+
+def newest(rows: pa.Table, et: str) -> pd.DataFrame:
+    """A packed row of output, dated by the newest row in it."""
+    return pd.DataFrame({"_et": [pd.Timestamp(pc.max(rows[et].cast(pa.int64())).as_py(), unit="us", tz="UTC")], "rows": [pack(rows)]})
 
 
 class OffsetVersions(StatefulProcessor):
     """Pass rows on, and every replaced version once more with negated measures.
 
-    Works on a bucket of keys at a time, so that a micro-batch costs one state read and write per
-    bucket and whole Arrow batches are compared at once. State is the latest version of each key,
+    Works on a bucket of keys at a time, packed, so that a micro-batch costs one state read and write per
+    bucket and whole tables are compared at once. State is the latest version of each key,
     until the watermark is ``ttl_ms`` past it. A version the watermark has passed is not undone: its
     window is closed.
     """
 
-    def __init__(self, keys: list[str], order: list[str], measures: list[str], ttl_ms: int):
-        self.keys, self.order, self.measures, self.ttl_ms = keys, order, measures, ttl_ms
+    def __init__(self, keys: list[str], order: list[str], measures: list[str], et: str, ttl_ms: int):
+        self.keys, self.order, self.measures, self.et, self.ttl_ms = keys, order, measures, et, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.latest = handle.getValueState("latest", "rows binary")
@@ -124,17 +162,16 @@ class OffsetVersions(StatefulProcessor):
         watermark = timerValues.getCurrentWatermarkInMs()
         value = self.latest.get()
         held = unpack(bytes(value[0])) if value else None
-        for pdf in rows:
-            known = pdf if held is None or held.empty else pd.concat([held, pdf])
-            known = known.sort_values([*self.keys, *self.order], na_position="first")
-            replaced = known.duplicated(self.keys, keep="last")
-            undone = known[replaced & (known["et_ms"] >= watermark)].copy()
+        for table in gathered(rows, lambda: 0 if held is None else held.num_rows):
+            known = ordered(table if held is None else joined([held, table]), [*self.keys, *self.order])
+            replaced = repeated(known, self.keys, "last")
+            undone = known.filter(pc.and_(replaced, pc.greater_equal(known["et_ms"], watermark)))
             for m in self.measures:
-                undone[m] = undone[m].map(lambda v: v if pd.isna(v) else -v)
-            held = known[~replaced]
-            yield pd.concat([pdf, undone]) if len(undone) else pdf
+                undone = undone.set_column(undone.schema.get_field_index(m), undone.schema.field(m), pc.negate(undone[m]))
+            held = known.filter(pc.invert(replaced))
+            yield newest(joined([table, undone]), self.et)
         if held is not None:
-            self.latest.update((pack(held[held["et_ms"] + self.ttl_ms > watermark]),))
+            self.latest.update((pack(held.filter(pc.greater(held["et_ms"], watermark - self.ttl_ms))),))
 
     def close(self) -> None:
         pass
@@ -154,24 +191,28 @@ class FirstSeen(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         first = None
-        for pdf in rows:
-            both = pdf if first is None else pd.concat([first, pdf])
-            first = both.sort_values(self.order, na_position="first").drop_duplicates("seen_key")
+        for table in gathered(rows, lambda: 0 if first is None else first.num_rows):
+            first = first_rows(table if first is None else joined([first, table]), ["seen_key"], self.order)
         if first is None:
             return
         value = self.seen.get()
-        held = unpack(bytes(value[0])) if value else first[["seen_key", "et_ms"]].head(0)
-        fresh = first[~first["seen_key"].isin(held["seen_key"])]
-        if len(fresh):
-            held = pd.concat([held, fresh[["seen_key", "et_ms"]]])
-            limit = timerValues.getCurrentWatermarkInMs()
-            self.seen.update((pack(held[held["et_ms"] + self.ttl_ms > limit]),))
-            yield fresh[self.order]
+        held = unpack(bytes(value[0])) if value else first.select(["seen_key", "et_ms"]).slice(0, 0)
+        fresh = first.filter(pc.invert(pc.is_in(first["seen_key"], value_set=held["seen_key"].combine_chunks())))
+        if fresh.num_rows:
+            held = pa.concat_tables([held, fresh.select(["seen_key", "et_ms"])])
+            limit = timerValues.getCurrentWatermarkInMs() - self.ttl_ms
+            self.seen.update((pack(held.filter(pc.greater(held["et_ms"], limit))),))
+            yield newest(fresh.select(self.order), "et")
 
     def close(self) -> None:
         pass
 
 
+def first_rows(rows: pa.Table, keys: list[str], order: list[str]) -> pa.Table:
+    rows = ordered(rows, order)
+    return rows.filter(pc.invert(repeated(rows, keys, "first")))
+
+
 class LatestAfterDelay(StatefulProcessor):
     """Hold the latest version of a key for a while, then emit it once.
 
