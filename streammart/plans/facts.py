@@ -105,9 +105,17 @@ def fact_order_detail(
     passes the bound. :func:`early_order_detail` writes it early and corrects it.
     """
     order, line, activity, coupon = _order_line_sides(changes, database)
-    rows = fact_join(line, order, ("order_id", "id"), "inner", bound)
-    rows = fact_join(rows, activity, ("id", "order_detail_id"), "left", bound)
+    if changes.isStreaming:
+        rows = fact_join(line, order, ("order_id", "id"), "inner", bound)
+        rows = fact_join(rows, activity, ("id", "order_detail_id"), "left", bound)
+        rows = fact_join(rows, coupon, ("id", "order_detail_id"), "left", bound)
+        return _order_detail_columns(rows)
+    # The order comes last: a join of the result by order finds it dealt by order already. Amounts travel as numbers.
+    amounts = ["order_price", "split_total_amount", "split_activity_amount", "split_coupon_amount"]
+    line = line.withColumns({c: as_decimal(c) for c in amounts})
+    rows = fact_join(line, activity, ("id", "order_detail_id"), "left", bound)
     rows = fact_join(rows, coupon, ("id", "order_detail_id"), "left", bound)
+    rows = fact_join(rows, order, ("order_id", "id"), "inner", bound)
     return _order_detail_columns(rows)
 
 
