@@ -75,3 +75,63 @@ def test_versions_survive_packing_exactly():
     undone = [("a", None, None), ("a", big, Decimal("-2.20")), ("b", 1, Decimal("-3.30"))]
     assert sorted(got, key=repr) == sorted(rows + undone, key=repr)
     assert {(r["id"], r["v"]) for r in processors.unpack(offset.latest.value[0]).to_pylist()} == {("a", big + 1), ("b", 1)}
+
+
+class Handle:
+    """Counts what each bucket asks of the state store."""
+
+    def __init__(self):
+        self.calls, self.timers, self.value = 0, [], Value()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value.get()
+
+    def update(self, value):
+        self.calls += 1
+        self.value.update(value)
+
+    def clear(self):
+        self.value.clear()
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+def test_latest_versions_of_a_bucket_share_state_and_timer():
+    handle = Handle()
+    latest = processors.LatestInBucket(["id"], ["v"], 10)
+    latest.init(handle)
+
+    def rows(*triples):
+        return pa.Table.from_pylist([{"id": i, "v": v, "_at_ms": at} for i, v, at in triples], pa.schema([("id", pa.string()), ("v", pa.int64()), ("_at_ms", pa.int64())]))
+
+    many = rows(*[(f"k{i}", v, 100 + v) for i in range(500) for v in (2, 1)], (None, None, 101), (None, 7, 103))
+    assert rows_of(latest.handleInputRows(0, frames([many]), At(0))) == []
+    assert handle.calls <= 3 and handle.timers == [111]
+    # An earlier time that comes later does not move the end of the while; k0 gets a newer version.
+    assert rows_of(latest.handleInputRows(0, frames([rows(("k0", 3, 50))]), At(90))) == []
+    out = rows_of(latest.handleExpiredTimer(0, At(111), None))
+    assert len(out) == 501 and {r["id"]: r["v"] for r in out}["k0"] == 3 and {r["id"]: r["v"] for r in out}[None] == 7
+    assert processors.unpack(handle.value.get()[0]).num_rows == 0
+
+
+def test_early_joins_of_a_bucket_share_state_and_timer():
+    handle = Handle()
+    early = processors.EarlyLeftJoin(["k0"], 1, 10)
+    early.init(handle)
+
+    def rows(*four):
+        return pa.Table.from_pylist([{"k0": k, "side": s, "at": at, "row": r} for k, s, at, r in four], pa.schema([("k0", pa.string()), ("side", pa.int32()), ("at", pa.int64()), ("row", pa.string())]))
+
+    out = rows_of(early.handleInputRows(0, frames([rows(*[(f"k{i}", 0, 100, f"L{i}") for i in range(500)])]), At(0)))
+    assert len(out) == 500 and all(r["sign"] == 1 and r["ver"] == 1 and r["rows"][1] is None for r in out)
+    assert handle.calls <= 3 and handle.timers == [111]
+    out = rows_of(early.handleInputRows(0, frames([rows(("k7", 1, 105, "R7"), ("k8", 1, 190, "R8"))]), At(0)))
+    assert [(r["sign"], r["ver"], r["rows"]) for r in out] == [(-1, 2, ["L7", None]), (1, 3, ["L7", "R7"])]
+    list(early.handleExpiredTimer(0, At(150), None))
+    assert sorted(r["row"] for r in processors.unpack(handle.value.get()[0]).to_pylist()) == ["L8", "R8"]
