@@ -42,6 +42,11 @@ def keyword_counts(
 ) -> DataFrame:
     """Searches per word; a word counts once per search."""
     words = log_ops.lateral_split_words(log_ops.search_keywords(pages), segmenter=segmenter)
+    if words.isStreaming:
+        from streammart.streaming.keyed import stream_window_counts
+
+        counted = stream_window_counts(words, "word", "keyword_count", width, delay=delay)
+        return stamp_window(counted).withColumnRenamed("word", "keyword")
     counted = tumble_agg(
         words, ["word"], [F.count(F.lit(1)).alias("keyword_count")], width=width, delay=delay
     )

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from streammart.functions import day_of
-from streammart.operators.windows import ensure_watermark, has_watermark
+from streammart.operators.windows import ensure_watermark, has_watermark, tumble
 from streammart.streaming import processors
 from streammart.streaming.processors import (
     EarlyLeftJoin,
@@ -27,6 +27,7 @@ from streammart.streaming.processors import (
     Normalise,
     OffsetByKey,
     OffsetVersions,
+    WindowCounts,
 )
 
 # Send the processors to the executors by value: the package need not be installed there.
@@ -321,6 +322,29 @@ def offset_versions_by_key(df: DataFrame, keys: list[str], order: list[str], mea
     )
 
 
+def stream_window_counts(
+    df: DataFrame, key: str, count: str, width: str, et: str = "et", delay: str = "0 seconds", buckets: int = 256
+) -> DataFrame:
+    """``window``, the key and how many rows have them, once the watermark has passed the window's end.
+
+    What :func:`streammart.operators.windows.tumble_agg` counts, for keys that are nearly as many as the rows, such as words:
+    it holds a state row for each window and key, this one a packed table for each bucket of them.
+    """
+    rows = ensure_watermark(df, et, delay).filter(F.col(et).isNotNull())
+    # Late is what falls into a closed window, so packs are dated by the ends of their windows.
+    end = tumble(et, width)["end"].alias("_et", metadata=rows.schema[et].metadata)
+    rows = rows.select(end, F.col(key).alias("key")).withColumn("_bucket", bucket_of(["_et", "key"], buckets))
+    made = packed(rows, delay, processors.window_counts).groupBy("_bucket").transformWithStateInPandas(
+        statefulProcessor=WindowCounts(),
+        outputStructType="rows binary",
+        outputMode="append",
+        timeMode="EventTime",
+    )
+    fields = T.StructType([T.StructField("end_us", T.LongType()), T.StructField("key", rows.schema["key"].dataType), T.StructField("n", T.LongType())])
+    window = tumble(F.timestamp_micros(F.col("end_us") - 1), width)
+    return unpacked(made, list(fields)).select(window.alias("window"), F.col("key").alias(key), F.col("n").alias(count))
+
+
 # Rows that travel as JSON keep their microseconds.
 TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 

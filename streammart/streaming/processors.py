@@ -223,6 +223,54 @@ def first_rows(rows: pa.Table, keys: list[str], order: list[str]) -> pa.Table:
     return rows.filter(pc.invert(repeated(rows, keys, "first")))
 
 
+def window_counts(rows: pa.Table) -> pa.Table:
+    """Rows with the end of their window as ``_et``, counted by window and key."""
+    counted = rows.group_by(["_bucket", "_et", "key"], use_threads=False).aggregate([([], "count_all")])
+    return counted.rename_columns(["_bucket", "_et", "key", "n"]).append_column("end_us", counted["_et"].cast(pa.int64()))
+
+
+class WindowCounts(StatefulProcessor):
+    """Add up the counts of each window and key of a bucket, and emit them when the watermark is past the window's end.
+
+    State is the counts of open windows; one timer a bucket looks for those that have closed.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "rows binary, watermark bigint")
+
+    def _closed(self, counts: pa.Table, watermark: int) -> Iterator[pd.DataFrame]:
+        """Emit the counts of closed windows, in pieces, and hold the others."""
+        over = pc.less_equal(counts["end_us"], watermark * 1000)
+        closed, held = counts.filter(over), counts.filter(pc.invert(over))
+        for at in range(0, closed.num_rows, PIECE):
+            yield pd.DataFrame({"rows": [pack(closed.slice(at, PIECE))]})
+        self.open.update((pack(held), watermark))
+        if held.num_rows:
+            self.handle.registerTimer(-(-pc.min(held["end_us"]).as_py() // 1000))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        value = self.open.get()
+        held, before = (unpack(bytes(value[0])), value[1]) if value else (None, None)
+        for table in gathered(rows, lambda: 0 if held is None else held.num_rows):
+            if before:
+                table = table.filter(pc.greater(table["end_us"], before * 1000))
+            names = ["end_us", "key", "n"]
+            table = table.select(names) if held is None else joined([held, table.select(names)])
+            added = table.group_by(names[:2], use_threads=False).aggregate([("n", "sum")])
+            held = added.rename_columns(names)
+        if held is not None:
+            yield from self._closed(held, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        value = self.open.get()
+        if value:
+            yield from self._closed(unpack(bytes(value[0])), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
 class LatestAfterDelay(StatefulProcessor):
     """Hold the latest version of a key for a while, then emit it once.
 

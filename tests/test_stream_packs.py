@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+from conftest import collect, save_parts
+from streammart.operators import logs
+from streammart.operators.windows import tumble_agg
+from streammart.plans import summaries
 from streammart.streaming import processors
 
 
@@ -135,3 +140,42 @@ def test_early_joins_of_a_bucket_share_state_and_timer():
     assert [(r["sign"], r["ver"], r["rows"]) for r in out] == [(-1, 2, ["L7", None]), (1, 3, ["L7", "R7"])]
     list(early.handleExpiredTimer(0, At(150), None))
     assert sorted(r["row"] for r in processors.unpack(handle.value.get()[0]).to_pylist()) == ["L8", "R8"]
+
+
+def searched(spark, folder, parts):
+    """Searches of (second of 2024-01-01, phrase), one micro-batch a part."""
+    start = pd.Timestamp("2024-01-01", tz="UTC")
+    save_parts([pd.DataFrame({"item": [p for _, p in part], "et": [start + pd.Timedelta(seconds=s) for s, _ in part]}) for part in parts], folder)
+    rows = spark.readStream.schema("item string, et timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+    return rows.select(F.struct(F.lit("home").alias("last_page_id"), F.lit("list").alias("page_id"), F.lit("keyword").alias("item_type"), "item").alias("page"), "et")
+
+
+def drained(spark, rows, out):
+    query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-ck").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return collect(spark.read.parquet(out)), query.recentProgress
+
+
+def test_words_are_counted_as_the_windowed_aggregate_counts_them(spark, tmp_path):
+    """Also behind the watermark while the window is open; what comes after it has closed is left out."""
+    parts = [
+        [(1, "a b"), (5, "a")],
+        [(3, "a c"), (8, "b b")],
+        [(12, "a"), (14, None), (13, "")],
+        [(4, "a z"), (25, "z")],
+        [(4, "a y"), (24, "a"), (41, "a")],
+        [(6, "a"), (7, "c"), (25, "late a"), (42, "open")],
+    ]
+    pages = searched(spark, str(tmp_path / "in"), parts)
+    got, _ = drained(spark, summaries.keyword_counts(pages), str(tmp_path / "packed"))
+    words = logs.lateral_split_words(logs.search_keywords(pages))
+    plain = tumble_agg(words, ["word"], [F.count(F.lit(1)).alias("keyword_count")]).withColumnRenamed("word", "keyword")
+    want, _ = drained(spark, plain, str(tmp_path / "plain"))
+    assert got == want and ("2024-01-01", "2024-01-01 00:00:10", "a", 4, "2024-01-01 00:00:00") in [(r[0], r[1], r[2], r[3], r[4]) for r in got]
+
+
+def test_state_is_buckets_not_words(spark, tmp_path):
+    """Twenty thousand words in open windows: a state row for each would make the state as large as the log."""
+    parts = [[(n % 60, " ".join(f"w{n}x{i}" for i in range(200))) for n in range(100)]]
+    _, progress = drained(spark, summaries.keyword_counts(searched(spark, str(tmp_path / "in"), parts), delay="1 hour"), str(tmp_path / "out"))
+    assert sum(op["numRowsTotal"] for op in progress[-1]["stateOperators"]) <= 4 * 256
