@@ -174,7 +174,7 @@ def start_split_job(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         with keep_good(batch, schemas.TOPIC_CHANGELOG, errors, batch_id) as rows:
-            write_split_changelog(rows, root, batch_id)
+            write_split_changelog(rows, root, batch_id, gather=True)
 
     return start_stream(changes.drop("et"), checkpoint, save, trigger).start()
 

@@ -340,3 +340,19 @@ def test_split_job_and_its_readers(spark, tmp_path, topic):
     rows = stream.select(F.col("data")["id"].alias("value"))
     run(sinks.write_topic(rows, "copy", root=str(tmp_path / "o"), checkpoint=str(tmp_path / "c2"), trigger=NOW))
     assert collect(topics.read_topic(spark, "copy", root=str(tmp_path / "o"))) == [("1",), ("2",)]
+
+
+def test_a_split_log_is_not_shuffled(spark, tmp_path):
+    """A whole log is written by the tasks that read it; the small batches of a stream are gathered by table."""
+    rows = spark.range(0, 400, 1, 4).selectExpr("'shop' as database", "if(id % 2 = 0, 'a', 'b') as table", "'insert' as type", "id as ts", "map('id', string(id)) as data", "cast(null as map<string,string>) as old")
+    files = {}
+    for gather in (False, True):
+        out = str(tmp_path / f"split-{gather}")
+        topics.write_split_changelog(rows, out, gather=gather)
+        files[gather] = len(list((tmp_path / f"split-{gather}").glob("table=*/batch_id=0/*.parquet")))
+        back = topics.read_split_changelog(spark, out)
+        assert collect(back.drop("et").selectExpr("database", "table", "type", "ts", "data['id'] as id", "old is null")) == collect(
+            rows.selectExpr("database", "table", "type", "ts", "data['id'] as id", "old is null")
+        )
+    assert files == {False: 8, True: 2}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
