@@ -154,20 +154,7 @@ def enrich(
     on_missing: str = "fail",
 ) -> DataFrame:
     """Add dimension columns. A key without a row fails the job, gives NULLs or drops the row."""
-    if on_missing == "drop":
-        return lookup(df, dim, key, dim_key, columns)
-    if on_missing == "null":
-        return lookup(df, dim, key, dim_key, columns, "left")
-    if on_missing != "fail":
-        raise ValueError("on_missing must be 'fail', 'null' or 'drop'")
-    flagged = dim.withColumn("_hit", F.lit(True))
-    found = lookup(df, flagged, key, dim_key, {**columns, "_hit": "_hit"}, "left")
-    message = F.concat(F.lit(f"no dimension row for {key} = "), F.coalesce(key, F.lit("NULL")))
-    checked = {
-        name: F.when(F.col("_hit"), F.col(name)).otherwise(F.raise_error(message))
-        for name in columns
-    }
-    return found.withColumns(checked).drop("_hit")
+    return enrich_chain(df, [(dim, key, columns)], dim_key, on_missing)
 
 
 def enrich_chain(
@@ -176,7 +163,36 @@ def enrich_chain(
     dim_key: str = "id",
     on_missing: str = "fail",
 ) -> DataFrame:
-    """Several look-ups in order; a step may use a key that an earlier one added."""
-    for dim, key, columns in steps:
-        df = enrich(df, dim, key, columns, dim_key, on_missing)
+    """Several look-ups in order; a step may use a key that an earlier one added.
+
+    Such a step is joined to the earlier dimension, not to the rows: they meet one table for each key of their own and
+    are never dealt by a key that has few values.
+    """
+    if on_missing not in ("fail", "null", "drop"):
+        raise ValueError("on_missing must be 'fail', 'null' or 'drop'")
+    how = "inner" if on_missing == "drop" else "left"
+    own, chains = set(df.columns), []
+    for i, (dim, key, columns) in enumerate(steps):
+        # A left join of a found row sets the flag, so that what is missing is told from a NULL that is there.
+        table = dim.select(
+            F.col(dim_key).alias(f"_k{i}"),
+            *[F.col(c).alias(name) for name, c in columns.items()],
+            *([F.lit(True).alias(f"_hit{i}")] if on_missing == "fail" else []),
+        )
+        at = None if key in own else next((n for n, (_, _, t) in enumerate(chains) if key in t.columns), None)
+        if at is None:
+            chains.append((i, key, table))
+        else:
+            first, start, earlier = chains[at]
+            chains[at] = (first, start, earlier.join(table, earlier[key] == table[f"_k{i}"], how).drop(f"_k{i}"))
+    for i, key, table in chains:
+        df = df.join(table, df[key] == table[f"_k{i}"], how).drop(f"_k{i}")
+    if on_missing == "fail":
+        for i, (_, key, columns) in enumerate(steps):
+            message = F.concat(F.lit(f"no dimension row for {key} = "), F.coalesce(key, F.lit("NULL")))
+            checked = {
+                name: F.when(F.col(f"_hit{i}"), F.col(name)).otherwise(F.raise_error(message))
+                for name in columns
+            }
+            df = df.withColumns(checked).drop(f"_hit{i}")
     return df

@@ -168,7 +168,9 @@ def _net_versions(
         return offset_versions(rows, keys, order, measures, ttl=ttl, delay=delay)
     types = dict(rows.dtypes)
     empty = rows.withColumns({m: F.lit(0).cast(types[m]) for m in measures})
-    return empty.unionByName(latest_per_key(rows, keys, order).select(*rows.columns))
+    # What only told the versions apart has done its work.
+    rest = [c for c in rows.columns if c == "et" or c not in (*keys, *order)]
+    return empty.select(*rest).unionByName(latest_per_key(rows, keys, order, carry=rest).select(*rest))
 
 
 SKU_AMOUNTS = {
@@ -203,9 +205,10 @@ def sku_amounts(
     if net.isStreaming:
         return tumble_agg(net, ["sku_id"], [name, *sums], width=width, delay=delay)
     # Text cannot sit in a hash aggregate's buffer. As a key it can, so order lines are summed by
-    # hashing, and only the summed rows are sorted to settle a product that changed its name.
+    # hashing, and only the summed rows are sorted to settle a product that changed its name. They are
+    # dealt and sorted by product, as a join with a large dimension needs them.
     named = net.groupBy(tumble("et", width).alias("window"), "sku_id", "sku_name").agg(*sums)
-    return stamp_window(named.groupBy("window", "sku_id").agg(name, *sums))
+    return stamp_window(named.repartition("sku_id").groupBy("sku_id", "window").agg(name, *sums).select("window", "sku_id", "sku_name", *SKU_AMOUNTS))
 
 
 def sku_attributes(

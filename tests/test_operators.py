@@ -317,3 +317,44 @@ def test_routes_by_constant_and_by_join_agree(spark, limit):
     got = cl.with_routes(changes, config, on, limit)
     assert collect(got.select("n", "_route.sink_table")) == [(1, "one"), (1, "two"), (4, "q")]
     assert cl.with_routes(changes, config.limit(0), on, limit).count() == 0
+
+
+def chained(spark):
+    """Rows with a key, and a chain of three dimensions: a has a NULL and a dangling key, two rows of b share an id."""
+    dims = {
+        "a": spark.createDataFrame([("1", "x"), ("2", "y"), ("3", "gone"), ("4", None)], "id string, b string"),
+        "b": spark.createDataFrame([("x", "p", "bx"), ("x", "p", "bx2"), ("y", "q", "by")], "id string, c string, name string"),
+        "c": spark.createDataFrame([("p", "cp")], "id string, name string"),
+    }
+    steps = [(dims["a"], "k", {"b": "b"}), (dims["b"], "b", {"c": "c", "b_name": "name"}), (dims["c"], "c", {"c_name": "name"})]
+    return spark.range(6).select(F.nullif("id", F.lit(0)).cast("string").alias("k")), steps
+
+
+def test_a_chain_gives_what_its_steps_give(spark):
+    rows, steps = chained(spark)
+    found = [("1", "x", "p", "bx", "cp"), ("1", "x", "p", "bx2", "cp")]
+    rest = [("2", "y", "q", "by", None), ("3", "gone", None, None, None), ("4", None, None, None, None), ("5", None, None, None, None), (None, None, None, None, None)]
+    names = ["k", "b", "c", "b_name", "c_name"]
+    got = {how: sorted(map(tuple, joins.enrich_chain(rows, steps, on_missing=how).select(names).collect()), key=repr) for how in ("drop", "null")}
+    assert got == {"drop": sorted(found, key=repr), "null": sorted(found + rest, key=repr)}
+    assert joins.enrich_chain(rows.filter("k = '1'"), steps).count() == 2
+    for k, message in (("'2'", "c = q"), ("'3'", "b = gone"), ("'4'", "b = NULL"), ("'5'", "k = 5"), ("null", "k = NULL")):
+        with pytest.raises(Exception, match=f"no dimension row for {message}"):
+            joins.enrich_chain(rows.filter(f"k <=> {k}"), steps).collect()
+    with pytest.raises(ValueError):
+        joins.enrich_chain(rows, steps, on_missing="ignore")
+
+
+@pytest.mark.parametrize("how", ["fail", "null", "drop"])
+def test_rows_meet_a_chain_of_dimensions_in_one_join(spark, how):
+    """Dimensions are joined to each other first: many rows are not shuffled by a key with few values."""
+    rows, steps = chained(spark)
+    text = joins.enrich_chain(rows, steps, on_missing=how)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(text) if "Range (" in line)
+    above, level = [], depth(text[at])
+    for line in reversed(text[:at]):
+        if depth(line) < level:
+            level = depth(line)
+            above.append(line)
+    assert sum("Join" in line for line in above) == 1
