@@ -189,26 +189,28 @@ def sku_amounts(
     ttl: str = "1 hour",
 ) -> DataFrame:
     """Amounts per product, before its attributes are added."""
-    rows = order_detail.select(
-        "id",
-        "sku_id",
-        "sku_name",
-        "et",
-        *[
-            F.coalesce(F.col(c).try_cast(kind), F.lit(0).cast(kind)).alias(name)
-            for name, (c, kind) in SKU_AMOUNTS.items()
-        ],
-        *[c for c in order if c != "et"],
-    )
-    net = _net_versions(rows, ["id"], list(order), list(SKU_AMOUNTS), ttl, delay)
-    name, sums = F.max("sku_name").alias("sku_name"), _sums(*SKU_AMOUNTS)
-    if net.isStreaming:
-        return tumble_agg(net, ["sku_id"], [name, *sums], width=width, delay=delay)
+    amounts = [
+        F.coalesce(F.col(c).try_cast(kind), F.lit(0).cast(kind)).alias(name)
+        for name, (c, kind) in SKU_AMOUNTS.items()
+    ]
+    name, group = F.max("sku_name").alias("sku_name"), ["sku_id", "sku_name", "et"]
+    if order_detail.isStreaming:
+        rows = order_detail.select("id", *group, *amounts, *[c for c in order if c != "et"])
+        net = _net_versions(rows, ["id"], list(order), list(SKU_AMOUNTS), ttl, delay)
+        return tumble_agg(net, ["sku_id"], [name, *_sums(*SKU_AMOUNTS)], width=width, delay=delay)
+    # As _net_versions, but versions travel with their amounts as they came, and all rows carry NULLs instead of
+    # zeros, which are cheaper to add up.
+    carry = [*group, *[c for c, _ in SKU_AMOUNTS.values()]]
+    latest = latest_per_key(order_detail, ["id"], list(order), carry=carry).select(*group, *amounts)
+    empty = order_detail.select(*group, *[F.lit(None).cast(kind).alias(name) for name, (_, kind) in SKU_AMOUNTS.items()])
+    net = empty.unionByName(latest)
     # Text cannot sit in a hash aggregate's buffer. As a key it can, so order lines are summed by
     # hashing, and only the summed rows are sorted to settle a product that changed its name. They are
     # dealt and sorted by product, as a join with a large dimension needs them.
-    named = net.groupBy(tumble("et", width).alias("window"), "sku_id", "sku_name").agg(*sums)
-    return stamp_window(named.repartition("sku_id").groupBy("sku_id", "window").agg(name, *sums).select("window", "sku_id", "sku_name", *SKU_AMOUNTS))
+    named = net.groupBy(tumble("et", width).alias("window"), "sku_id", "sku_name").agg(*_sums(*SKU_AMOUNTS))
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in SKU_AMOUNTS]
+    summed = named.repartition("sku_id").groupBy("sku_id", "window").agg(name, *sums)
+    return stamp_window(summed.select("window", "sku_id", "sku_name", *SKU_AMOUNTS))
 
 
 def sku_attributes(

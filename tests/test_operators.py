@@ -358,3 +358,15 @@ def test_rows_meet_a_chain_of_dimensions_in_one_join(spark, how):
             level = depth(line)
             above.append(line)
     assert sum("Join" in line for line in above) == 1
+
+
+def test_a_product_whose_lines_were_all_replaced_keeps_its_row_with_zeros(spark):
+    rows = spark.createDataFrame(
+        [("1", "a", "old", "2024-01-01 00:00:01", 1, "9.00"), ("1", "b", "new", "2024-01-01 02:00:00", 2, "5.00"), ("2", "b", "newer", "2024-01-01 02:00:05", 1, None), ("2", None, None, "2024-01-01 02:00:01", 1, "x")],
+        "id string, sku_id string, sku_name string, et string, v int, amount string",
+    )
+    lines = rows.select("id", "sku_id", "sku_name", F.col("et").cast("timestamp").alias("et"), "v", *[F.col("amount").alias(c) for c, _ in summaries.SKU_AMOUNTS.values()])
+    out = summaries.sku_amounts(lines, "1 hour", order=("et", "v"))
+    got = {(r["stt"][11:13], r["sku_id"]): (r["sku_name"], *[str(r[c]) for c in summaries.SKU_AMOUNTS]) for r in out.collect()}
+    zeros = ("0.0000", "0.00", "0.00", "0.00")
+    assert got == {("00", "a"): ("old", *zeros), ("02", "b"): ("newer", "5.0000", "5.00", "5.00", "5.00"), ("02", None): (None, *zeros)}
