@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 from tokenizers import Tokenizer, models
 
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 # A worker keeps two generations of pieces, each of at most so many pieces and characters; longer ones are not kept.
 CACHE_PIECES, CACHE_CHARS, LONG_PIECE = 200_000, 4_000_000, 200
 
@@ -158,21 +160,12 @@ def _rows(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -
         step = max(1, min(512, most // max(1, sizes)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+    pa.default_memory_pool().release_unused()
 
 
-def encode(
-    df: DataFrame,
-    ranks_path: str,
-    pattern: str,
-    text_col: str = "text",
-    offsets: bool = False,
-    keep_text: bool = True,
-) -> DataFrame:
-    """Add ``ids`` array<int>, and with ``offsets`` also ``starts`` and ``ends`` array<int>."""
+def _encoding(ranks_path: str, pattern: str, names: list[str], offsets: bool = False) -> Work:
+    """Batches with ``_bpe_text`` become the columns ``names`` and the ids, and with ``offsets`` their spans."""
     new = ["ids", "starts", "ends"] if offsets else ["ids"]
-    keep = df.drop(*new).withColumn("_bpe_text", F.coalesce(F.col(text_col), F.lit("")))
-    names = [c for c in keep.columns if c != "_bpe_text" and (keep_text or c != text_col)]
-    schema = StructType([*keep.select(names).schema, *(StructField(n, ArrayType(IntegerType())) for n in new)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks_path, pattern)
@@ -187,16 +180,12 @@ def encode(
                 out += [_lists([s[k] for s in spans], pa.int32()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(out, [*names, *new])
 
-    return keep.mapInArrow(run, schema)
+    return run
 
 
-def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", as_text: bool = True) -> DataFrame:
-    """Add ``decoded_bytes``, and with ``as_text`` the ``decoded`` text, in which cut characters become U+FFFD."""
+def _decoding(ranks_path: str, pattern: str, names: list[str], ids_col: str, as_text: bool) -> Work:
+    """Batches with ``ids_col`` become the columns ``names`` and the bytes, and with ``as_text`` the text."""
     new = ["decoded_bytes", "decoded"] if as_text else ["decoded_bytes"]
-    keep = df.drop(*new)
-    names = keep.columns
-    kinds = [BinaryType(), StringType()]
-    schema = StructType([*keep.schema, *(StructField(n, k) for n, k in zip(new, kinds))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks_path, pattern)
@@ -207,7 +196,32 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", a
                 out.append(pa.array([d.decode("utf-8", "replace") for d in data.to_pylist()], pa.string()))
             yield pa.RecordBatch.from_arrays(out, [*names, *new])
 
-    return keep.mapInArrow(run, schema)
+    return run
+
+
+def encode(
+    df: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text_col: str = "text",
+    offsets: bool = False,
+    keep_text: bool = True,
+) -> DataFrame:
+    """Add ``ids`` array<int>, and with ``offsets`` also ``starts`` and ``ends`` array<int>."""
+    new = ["ids", "starts", "ends"] if offsets else ["ids"]
+    keep = df.drop(*new).withColumn("_bpe_text", F.coalesce(F.col(text_col), F.lit("")))
+    names = [c for c in keep.columns if c != "_bpe_text" and (keep_text or c != text_col)]
+    schema = StructType([*keep.select(names).schema, *(StructField(n, ArrayType(IntegerType())) for n in new)])
+    return keep.mapInArrow(_encoding(ranks_path, pattern, names, offsets), schema)
+
+
+def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", as_text: bool = True) -> DataFrame:
+    """Add ``decoded_bytes``, and with ``as_text`` the ``decoded`` text, in which cut characters become U+FFFD."""
+    new = ["decoded_bytes", "decoded"] if as_text else ["decoded_bytes"]
+    keep = df.drop(*new)
+    kinds = [BinaryType(), StringType()]
+    schema = StructType([*keep.schema, *(StructField(n, k) for n, k in zip(new, kinds))])
+    return keep.mapInArrow(_decoding(ranks_path, pattern, keep.columns, ids_col, as_text), schema)
 
 
 def multi_50k() -> tuple[str, str]:
@@ -218,9 +232,17 @@ def multi_50k() -> tuple[str, str]:
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
-    """``ids`` and ``decoded_bytes`` in place of the text of ``docs``."""
+    """``ids`` and ``decoded_bytes`` in place of the text of ``docs``.
+
+    One pass: a task holds the vocabulary in one worker. ``decode`` after ``encode`` takes two workers a task, and
+    workers and their vocabularies outlive the stage.
+    """
     ranks, pattern = multi_50k()
-    return decode(encode(docs, ranks, pattern, keep_text=False), ranks, pattern, as_text=False)
+    keep = docs.drop("ids", "decoded_bytes").withColumn("_bpe_text", F.coalesce(F.col("text"), F.lit("")))
+    names = [c for c in keep.columns if c not in ("_bpe_text", "text")]
+    schema = StructType([*keep.select(names).schema, StructField("ids", ArrayType(IntegerType())), StructField("decoded_bytes", BinaryType())])
+    coded, decoded = _encoding(ranks, pattern, names), _decoding(ranks, pattern, [*names, "ids"], "ids", as_text=False)
+    return keep.mapInArrow(lambda batches: decoded(coded(batches)), schema)
 
 
 def digests(spark: SparkSession, docs: DataFrame) -> DataFrame:

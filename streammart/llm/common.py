@@ -16,10 +16,14 @@ SPACES = "\\x20\\x09-\\x0D"
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Arrow batches in pieces of a few rows, so that Python objects of few texts exist at a time."""
+    """Arrow batches in pieces of a few rows, so that Python objects of few texts exist at a time.
+
+    At the end Arrow's pool gives back what it holds in reserve: workers outlive their tasks, beside the executor's heap.
+    """
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -95,6 +95,42 @@ def test_bpe_columns_decode_like_lists():
             coder.decode_column(pa.array([[bad]], pa.list_(pa.int32())))
 
 
+def test_bpe_round_trip_takes_one_worker_a_task(spark):
+    """One Python step, with the rows and columns of ``decode`` after ``encode``; two would double the vocabularies in memory."""
+    from streammart.llm import bpe
+
+    schema = "doc_id long, ids string, text string, Decoded_bytes string, lang string, starts string"
+    texts = ["", None, "ab  cd\n", "漢字🎉 Ωß", "x" * 3000, " \t", "one two", "one two"]
+    docs = spark.createDataFrame([(i if i % 3 else None, "a", t, "b", None, "c") for i, t in enumerate(texts)], schema)
+    ranks, pattern = bpe.multi_50k()
+    for rows in (docs, docs.limit(0)):
+        done = bpe.round_trip(rows)
+        assert done._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        chained = bpe.decode(bpe.encode(rows, ranks, pattern, keep_text=False), ranks, pattern, as_text=False)
+        assert done.schema == chained.schema
+        assert sorted(map(str, done.collect())) == sorted(map(str, chained.collect()))
+    coded = bpe.round_trip(docs).collect()
+    assert sorted(bytes(r.decoded_bytes) for r in coded) == sorted((t or "").encode() for t in texts)
+
+
+def test_slices_give_back_unused_memory(monkeypatch):
+    import pyarrow as pa
+
+    from streammart.llm import bpe
+    from streammart.llm.common import slices
+
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append(1)
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(list("abcde"))], ["t"])] * 2
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    assert [b.num_rows for b in slices(batches, 3)] == [3, 2, 3, 2] and len(calls) == 1
+    assert [b.num_rows for b in bpe._rows(batches, "t")] == [5, 5] and len(calls) == 2
+
+
 def test_fingerprints_of_equal_rows_are_dealt_over_tasks(spark):
     """Many rows of two ids: several partitions hold them, and each is compared with what follows it in the order."""
     from pyspark.sql import functions as F
