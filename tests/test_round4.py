@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 
+import glob
+
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from conftest import collect
 from streammart.plans import facts
+from streammart.sources import sinks
 from streammart.streaming import keyed, processors
 from test_stream_packs import At, Handle, frames, rows_of
 
@@ -108,3 +111,23 @@ def test_netted_is_the_group_by_of_all_columns(spark, monkeypatch):
     df = spark.createDataFrame(rows * 3, "id string, x double, sign int").repartition(3)
     want = df.groupBy("id", "x").agg(F.sum("sign").alias("n")).filter("n <> 0")
     assert collect(keyed.netted(df, ["id"], "sign", "n")) == collect(want) and want.count() == 3
+
+
+def test_days_of_a_stream_are_gathered(spark, tmp_path):
+    """A stream's session has no adaptive execution, without which the hint was dropped: a file for each task and day."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(4000).select(F.concat(F.lit("2024-01-0"), (F.col("id") % 9 + 1).cast("string")).alias("cur_date"), "id").repartition(8).write.parquet(folder)
+    rows = spark.readStream.schema("cur_date string, id bigint").option("maxFilesPerTrigger", 8).parquet(folder)
+    sinks.write_summary(rows, out, f"{out}-ck", {"availableNow": True}).awaitTermination()
+    assert sinks.read_summary(spark, out).agg(F.count("id"), F.sum("id")).first()[:] == (4000, 3999 * 2000)
+    assert len(glob.glob(f"{out}/cur_date=*/*/*.parquet")) == 9
+
+
+def test_offsets_without_the_columns_that_ordered_them():
+    table = pa.table({"id": ["a", "a", None, None, "c"], "v": [1, 2, 4, 3, 5], "m": [10, 20, 40, 30, 50], "et": pa.array([0] * 5, pa.timestamp("us", "UTC")), "et_ms": [0] * 5})
+    offset = processors.OffsetVersions(["id"], ["v"], ["m"], "et", 1000, ["et", "m"])
+    handle = Handle()
+    offset.init(handle)
+    out = rows_of(offset.handleInputRows(0, frames([table]), At(0)))
+    assert sorted(r["m"] for r in out) == [-30, -10, 10, 20, 30, 40, 50] and set(out[0]) == {"et", "m"}
+    assert sorted(r["m"] for r in processors.unpack(handle.value.get()[0]).to_pylist()) == [20, 40, 50]
