@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import collect
 from streammart.plans import facts
-from streammart.sources import sinks
+from streammart.sources import sinks, topics
 from streammart.streaming import keyed, processors
 from test_stream_packs import At, Handle, frames, rows_of
 
@@ -131,3 +131,16 @@ def test_offsets_without_the_columns_that_ordered_them():
     out = rows_of(offset.handleInputRows(0, frames([table]), At(0)))
     assert sorted(r["m"] for r in out) == [-30, -10, 10, 20, 30, 40, 50] and set(out[0]) == {"et", "m"}
     assert sorted(r["m"] for r in processors.unpack(handle.value.get()[0]).to_pylist()) == [20, 40, 50]
+
+
+def test_topics_are_packed_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    """Change messages as plain text took ten times the disk; one packed file is one task's, so it may not grow without end."""
+    monkeypatch.setitem(sinks.TOPIC_FILES, "maxRecordsPerFile", "1000")
+    rows = spark.range(2500).select(F.to_json(F.struct("id", F.lit("größe").alias("name"))).alias("value")).coalesce(1)
+    sinks.write_topic(rows, "batch", root=str(tmp_path))
+    stream = topics.read_topic(spark, "batch", root=str(tmp_path), streaming=True)
+    sinks.write_topic(stream, "stream", root=str(tmp_path), checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True}).awaitTermination()
+    want = collect(rows)
+    for topic in ("batch", "stream"):
+        assert len(glob.glob(f"{tmp_path}/{topic}/*.txt.gz")) >= 3 and not glob.glob(f"{tmp_path}/{topic}/*.txt")
+        assert collect(topics.read_topic(spark, topic, root=str(tmp_path))) == want
