@@ -134,7 +134,7 @@ def test_offsets_without_the_columns_that_ordered_them():
 
 
 def test_topics_are_packed_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
-    """Change messages as plain text took ten times the disk; one packed file is one task's, so it may not grow without end."""
+    """Change messages as plain text took six times the disk; one packed file is one task's, so it may not grow without end."""
     monkeypatch.setitem(sinks.TOPIC_FILES, "maxRecordsPerFile", "1000")
     rows = spark.range(2500).select(F.to_json(F.struct("id", F.lit("größe").alias("name"))).alias("value")).coalesce(1)
     sinks.write_topic(rows, "batch", root=str(tmp_path))
